@@ -23,9 +23,45 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .host_rules import judge
+
+    return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+win AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM dup) GROUP BY r),
+ln AS (
+  SELECT r, count(*) - count(DISTINCT x) AS n
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
+f AS (
+  SELECT d.r, doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(ln.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN cov ON cov.r = d.r LEFT JOIN ln ON ln.r = d.r),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS k FROM b GROUP BY source),
+m AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v FROM h),
+p AS (SELECT m, least(1e6, greatest(1.0, coalesce(CASE WHEN v > 0 THEN m * (1 - m) / v END - 1, 1e6))) AS s FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (k + s * m) / (n + s) <= 0.5 AS kept
+FROM b JOIN h ON b.source IS NOT DISTINCT FROM h.source, p
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_host_rules": OP10_SQL}
