@@ -17,6 +17,12 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import plan
+
+    return plan(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
