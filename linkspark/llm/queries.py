@@ -23,6 +23,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import digest
+
+    return digest(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
