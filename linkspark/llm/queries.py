@@ -17,6 +17,12 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import plan
 
