@@ -29,6 +29,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    return round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import digest
 
