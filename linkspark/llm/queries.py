@@ -47,6 +47,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op7_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_fm import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .topk import top_k
 
