@@ -72,6 +72,12 @@ WHERE rank <= 20
 """.replace("documents_vectors", "embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0 AND vec_id IS NOT NULL")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .host_rules import judge
 
