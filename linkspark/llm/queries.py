@@ -35,6 +35,29 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents WHERE doc_id IS NOT NULL),
+win AS (
+  SELECT r, doc_id, i - 1 AS s, array_to_string(list_slice(w, i, i + 49), ' ') AS g
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+c AS (SELECT g, min(doc_id) AS f FROM win GROUP BY g HAVING count(*) > 1),
+m AS (SELECT r, doc_id, s, s + 50 AS e, f FROM win JOIN c USING (g)),
+n AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + 50 THEN 0 ELSE 1 END AS b FROM m),
+p AS (SELECT *, sum(b) OVER (PARTITION BY r ORDER BY s) AS k FROM n)
+SELECT doc_id, CAST(min(s) AS BIGINT) AS "start", CAST(max(e) AS BIGINT) AS "end", CAST(max(e) - min(s) AS BIGINT) AS n_words, min(f) AS first_doc_id
+FROM p GROUP BY r, doc_id, k
+"""
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import digest
 
@@ -119,4 +142,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_topk": OP8_SQL, "op10_host_rules": OP10_SQL}
+    return {"op4_suffix_dedup": OP4_SQL, "op8_topk": OP8_SQL, "op10_host_rules": OP10_SQL}
