@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,52 +13,77 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Tokenised words that one worker remembers, in each of two generations.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Words whose pieces the tokenizer's own rule would cut the same way: ASCII and the accented letters of Latin-1, lower case.
+SIMPLE = re.compile("[\x00-\x7fà-öø-ÿ]+")
+#: The tokenizer's rule, for such words.
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level tokenizers write for each byte: itself, or the next free one from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table = {b: chr(b) for b in plain}
+    return table | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in table)}
+
+
 class WordTokenizer:
     """Ids of whole texts for a tokenizer whose tokens never span ASCII white space and that drops it.
 
-    Words are tokenised once and remembered in two generations of bounded size; a
-    word in use moves to the young one, so memory doesn't grow with the vocabulary.
+    Words are tokenised once and remembered, as little-endian bytes, in two generations
+    of bounded size; a word in use moves to the young one, so memory doesn't grow with
+    the vocabulary. Plain words go to the tokenizer's model piece by piece, all others
+    through the whole tokenizer; both give its ids.
     """
 
     def __init__(self, path: str, most: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-        self.most, self.young, self.old = most, {}, {}
-
-    def lists(self, words: list[bytes]) -> list[list[int]]:
-        young, old = self.young, self.old
-        missing = {}
-        for w in words:
-            if w not in young:
-                ids = old.get(w)
-                if ids is None:
-                    missing[w] = None
-                else:
-                    young[w] = ids
-        if missing:
-            todo = list(missing)
-            for lo in range(0, len(todo), 4096):
-                part = todo[lo : lo + 4096]
-                for w, e in zip(part, self.encoder.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                    young[w] = e.ids
-        out = [young[w] for w in words]
-        if len(young) > self.most:
-            self.old, self.young = young, {}
-        return out
+        self.model, self.letters = self.encoder.model, byte_letters()
+        self.most, self.young, self.old, self.pieces = most, {}, {}, {}
+
+    def piece(self, p: str) -> bytes:
+        ids = self.pieces.get(p)
+        if ids is None:
+            if len(self.pieces) >= self.most:
+                self.pieces.clear()
+            spelt = p if p.isalpha() and p.isascii() else p.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[p] = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt))
+        return ids
+
+    def word(self, w: bytes) -> bytes:
+        """The ids of a word that isn't remembered among the young."""
+        ids = self.old.get(w)
+        if ids is None:
+            text = w.decode("utf-8", "replace")
+            low = text.lower()
+            if SIMPLE.fullmatch(low) and len(low) == len(text) and "<|" not in low and (text.isascii() or SIMPLE.fullmatch(text.swapcase().lower())):
+                ids = b"".join(map(self.piece, PIECE.findall(low)))
+            else:
+                ids = np.array(self.encoder.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self.young[w] = ids
+        return ids
 
     def encode(self, text: bytes, end: int) -> np.ndarray:
-        """The ids of a text, then ``end``; long texts go in runs of words."""
-        words, parts = text.split(), []
-        for lo in range(0, len(words), 50_000):
-            lists = self.lists(words[lo : lo + 50_000])
-            parts.append(np.fromiter((i for ids in lists for i in ids), dtype="<u4"))
-        parts.append(np.array([end], dtype="<u4"))
-        return np.concatenate(parts)
+        """The ids of a text, then ``end``."""
+        words = text.split()
+        found = list(map(self.young.get, words))
+        if None in found:
+            get, word = self.young.get, self.word
+            found = [ids if ids is not None else get(w) or word(w) for ids, w in zip(found, words, strict=True)]
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        return np.frombuffer(b"".join([*found, end.to_bytes(4, "little")]), dtype="<u4")
+
+
+@lru_cache(1)
+def tokenizer(path: str) -> WordTokenizer:
+    """One a worker process, so that later tasks know the words of earlier ones."""
+    return WordTokenizer(path)
 
 
 class HarmonicBins:
@@ -132,7 +159,7 @@ class HarmonicBins:
             yield from self.place(now)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, least: int = 64, end: int = 1) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = 2048, least: int = 64, end: int = 1) -> DataFrame:
     """Packs every document of ``docs(doc_id, text)`` into sequences of at most ``capacity`` tokens.
 
     One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
@@ -152,7 +179,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, least: int = 64,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = WordTokenizer(tokenizer)
+        encoder = tokenizer(path)
         bins = HarmonicBins(capacity, least, TaskContext.get().partitionId() << 40)
         rows: list[tuple] = []
 
