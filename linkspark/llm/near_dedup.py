@@ -126,7 +126,7 @@ def linked(n_a: Column, n_b: Column, both: Column, percent: int) -> Column:
 def compare_blocks(percent: int):
     """For two blocks of documents, the links that join them up: signatures first, full sets where they allow, none inside a part already joined."""
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         ids, side = pdf["id"].to_numpy(), pdf["side"].to_numpy()
         order = np.lexsort((ids, side))
         ids, side = ids[order], side[order]
@@ -196,9 +196,10 @@ def links(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFram
     meet = stash(meet, "near-meet")
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(home.select("id")).distinct()
-    sets = shingles(docs.join(wanted, "id", "left_semi"), size, "id")
-    sets = stash(sets.dropDuplicates(["id", "set"]), "near-sets")
-    one, two = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
+    # merged at every size, so that texts are dealt by id once, for the join and for repeated rows alike
+    texts = docs.join(wanted.hint("merge"), "id", "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["id", "h"])
+    sets = stash(shingles(texts, size, "id"), "near-sets")
+    one, two = (sets.select(F.col("id").alias(x), F.col("set").alias(f"s{x}")).hint("merge") for x in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     near = pairs.join(one, "a").join(two, "b").filter(linked(F.size("sa"), F.size("sb"), both, percent)).select("a", "b")
 
