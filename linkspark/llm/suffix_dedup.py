@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
@@ -94,42 +93,76 @@ def contexts(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("id", "th", "text", "at").mapInArrow(run, "id long, th long, pos int, gram long, hot boolean, around array<long>")
 
 
-def neighbours(length: int):
-    """Sorts the suffixes that share a k-gram and finds, with what stands left of them, the windows that occur twice.
+def neighbours(gram: np.ndarray, ids: np.ndarray, th: np.ndarray, pos: np.ndarray, around: np.ndarray, length: int) -> list[np.ndarray]:
+    """Sorts the suffixes of each k-gram and finds, with what stands left of them, the windows that occur twice.
 
     In sorted order all suffixes that agree in their next r words are neighbours. So for
     each t, the ones that agree in length - t words are runs between neighbours that
     don't, and those of a run that also agree in the t words before are repeats: each
-    run of t gives the match [pos - t, pos - t + length).
+    run of t gives the match [pos - t, pos - t + length). Gives ids, th, starts, ends
+    and the smallest id of each match.
     """
     side = length - GRAM
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        around = np.stack(pdf["around"].to_numpy()).view(U)
-        left, right = around[:, :side], around[:, side:]
-        order = np.lexsort(right.T[::-1])
-        left, right = left[order], right[order]
-        ids, th, pos = (pdf[c].to_numpy()[order] for c in ("id", "th", "pos"))
-        same = right[1:] == right[:-1]
-        lcp = np.concatenate([[-1], np.where(same.all(axis=1), side, same.argmin(axis=1))])
-        before = np.zeros(len(ids), dtype=U)
-        out = []
+    left, right = around[:, :side], around[:, side:]
+    order = np.lexsort([*right.T[::-1], gram])
+    gram, ids, th, pos, left, right = gram[order], ids[order], th[order], pos[order].astype(np.int64), left[order], right[order]
+    same = right[1:] == right[:-1]
+    lcp = np.where(same.all(axis=1), side, same.argmin(axis=1))
+    lcp = np.concatenate([[-1], np.where(gram[1:] == gram[:-1], lcp, -1)])
+    before, at = np.zeros(len(ids), dtype=U), np.arange(len(ids))
+    out = []
+    for t in range(side + 1):
+        if t:
+            before = mix(before * U(0xD6E8FEB86659FD93) + left[:, t - 1])
+        runs = np.cumsum(lcp < side - t)
+        # only runs of two or more can hold a repeat
+        many = np.bincount(runs)[runs] > 1
+        if not many.any():
+            continue
+        row = at[many]
+        _, group, count = np.unique(mix(before[many] + runs[many].astype(U) * U(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
+        hit = count[group] > 1
+        if hit.any():
+            first = np.full(len(count), np.iinfo(np.int64).max)
+            np.minimum.at(first, group, ids[row])
+            row, group = row[hit], group[hit]
+            out.append((ids[row], th[row], pos[row] - t, pos[row] - t + length, first[group]))
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
+def sorted_suffixes(around: DataFrame, length: int) -> DataFrame:
+    """(id, th, start, end, first) of the matches among ``around``: suffixes dealt and sorted by k-gram, some thousand at a time, none of whose k-grams is cut."""
+    names = ["id", "th", "start", "end", "first"]
+
+    def solve(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        gram, ids, th, pos = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in range(4))
+        flat = np.concatenate([p.column(4).flatten().to_numpy() for p in parts]).view(U)
         with np.errstate(over="ignore"):
-            for t in range(side + 1):
-                if t:
-                    before = mix(before * U(0xD6E8FEB86659FD93) + left[:, t - 1])
-                runs = np.cumsum(lcp < side - t).astype(U)
-                _, group, count = np.unique(mix(before + runs * U(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
-                hit = count[group] > 1
-                if hit.any():
-                    first = np.full(len(count), np.iinfo(np.int64).max)
-                    np.minimum.at(first, group, ids)
-                    out.append((ids[hit], th[hit], pos[hit] - t, pos[hit] - t + length, first[group[hit]]))
-        if not out:
-            return pd.DataFrame({"id": [], "th": [], "start": [], "end": [], "first": []}).astype("int64")
-        return pd.DataFrame(dict(zip(("id", "th", "start", "end", "first"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
-
-    return run
+            found = neighbours(gram, ids, th, pos, flat.reshape(len(ids), -1), length)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=names) if found else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4 * GROUP):
+                part = batch.slice(at, 4 * GROUP)
+                gram = part.column(0).to_numpy()
+                cut = int(np.searchsorted(gram, gram[-1]))
+                held.append(part.slice(0, cut))
+                rows += cut
+                # the last k-gram goes on; before it stand whole ones, unless all is one
+                if rows >= GROUP and cut:
+                    if (out := solve(held)) is not None:
+                        yield out
+                    held, rows = [], 0
+                held.append(part.slice(cut))
+                rows += part.num_rows - cut
+        if rows and (out := solve(held)) is not None:
+            yield out
+
+    dealt = around.select("gram", "id", "th", "pos", "around").repartition("gram").sortWithinPartitions("gram")
+    return dealt.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def merged(windows: DataFrame, keys: list[str]) -> DataFrame:
@@ -171,8 +204,7 @@ def repeated_passages(docs: DataFrame, length: int = 50) -> DataFrame:
     around = stash(contexts(texts, length), "suffix-contexts")
     delete(found)
 
-    schema = "id long, th long, start long, end long, first long"
-    some = around.filter("NOT hot").groupBy("gram").applyInPandas(neighbours(length), schema)
+    some = sorted_suffixes(around.filter("NOT hot"), length)
     windows = around.filter("hot").select("id", "th", "pos", F.posexplode("around").alias("t", "window")).filter("window <> 0")
     windows = windows.select("id", "th", (F.col("pos") - F.col("t")).cast("long").alias("start"), "window").distinct()
     twice = windows.groupBy("window").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1").drop("n")
