@@ -142,6 +142,10 @@ def fit(rows: list[tuple[bytes, int | None, int]], epochs: int = 6, rate: float
     return Model(float(b[0]), w.astype(np.float64), v.astype(np.float64), mean, scale)
 
 
+def flattened(m: Model) -> list[float]:
+    return np.concatenate([[m.bias], m.weights, m.factors.ravel(), m.mean, m.scale]).tolist()
+
+
 def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
@@ -177,7 +181,9 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", cut: fl
 
     # one task fits on the bounded sample
     ordered = known.select("t.text", "t.n_chars", "y", "doc_id").repartition(1).sortWithinPartitions("doc_id").select("text", "n_chars", "y")
-    flat = np.array(ordered.mapInArrow(learn, "model array<double>").first()[0])
+    learned = ordered.mapInArrow(learn, "model array<double>").first()
+    # without labelled rows there may be no task
+    flat = np.array(learned[0] if learned else flattened(fit([])))
     cuts = np.cumsum([1, DIMS, DIMS * RANK, STATS])
     bias, weights, factors, mean, scale = np.split(flat, cuts)
     model = docs.sparkSession.sparkContext.broadcast(Model(float(bias[0]), weights, factors.reshape(DIMS, RANK), mean, scale))
