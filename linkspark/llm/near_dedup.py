@@ -130,7 +130,8 @@ def compare_blocks(percent: int):
         ids, side = pdf["id"].to_numpy(), pdf["side"].to_numpy()
         order = np.lexsort((ids, side))
         ids, side = ids[order], side[order]
-        sets = [pdf["set"].iloc[i] for i in order]
+        # in the order in which they were sorted
+        sets = [pdf["set"].iloc[i].view(U) for i in order]
         sizes = np.array([len(s) for s in sets])
         lanes = np.stack([pdf[c].to_numpy()[order] for c in CHUNK_COLUMNS], axis=1).view(np.uint16).reshape(len(ids), SYMBOLS)
         parent = list(range(len(ids)))

@@ -1,0 +1,29 @@
+"""The pipeline's stages on small documents."""
+
+import re
+
+import corpus_pipeline as pipeline
+
+
+def test_stages(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    before = docs
+    kept = {}
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, before, sf)
+        if name != "packing":
+            assert out.columns == docs.columns
+        before = spark.createDataFrame(out.toPandas(), out.schema) if name == "packing" else pipeline.stash(out, "test")
+        kept[name] = before
+    ids = {n: {r.doc_id for r in rows.select("doc_id").distinct().collect()} for n, rows in kept.items()}
+    assert ids["packing"] == ids["mixing"] <= ids["pii"] == ids["near_dedup"] <= ids["quality_rules"]
+    assert all(len(re.findall(r"\S+", r.text)) >= 50 for r in kept["quality_rules"].select("text").collect())
+    texts = [r.text for r in kept["near_dedup"].select("text").collect()]
+    assert len(texts) == len(set(texts))
+    assert not any(re.search(r"[a-z0-9.]+@[a-z0-9-]+\.[a-z]", r.text) for r in kept["pii"].select("text").collect())
+
+
+def test_run(spark):
+    out = pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.columns[:2] == ["doc_id", "start"] and out.count() > 0
