@@ -56,12 +56,17 @@ def token_set(a: str, b: str) -> float:
 
 
 def partial(a: str, b: str) -> float:
-    """Best ratio of the shorter string with a window of the longer one, cut off at its ends."""
+    """Best ratio of the shorter string with a window of the longer one, cut off at its ends; of strings of one length, either way round."""
     if not a or not b:
         return 100.0 if a == b else 0.0
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     if short in long:
         return 100.0
+    best = windows(short, long)
+    return max(best, windows(long, short)) if len(a) == len(b) else best
+
+
+def windows(short: str, long: str) -> float:
     n, chars, best = len(short), set(short), 0.0
     for end in range(1, len(long) + n):
         window = long[max(0, end - n) : end]
