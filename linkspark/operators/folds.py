@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..settings import DEFAULT
+from ..settings import DEFAULT, Settings
 
 
 def crc(text: Column, salt: str = "") -> Column:
@@ -30,12 +30,12 @@ def picked(entity: Column, fraction: float, salt: str) -> Column:
     return crc(entity, salt) % 1_000_000 < int(fraction * 1_000_000)
 
 
-def query_filter(queries: DataFrame, mode: str) -> DataFrame:
+def query_filter(queries: DataFrame, mode: str, settings: Settings = DEFAULT) -> DataFrame:
     """Queries of a mode: all, val (validation) or fit (validation or fit sample)."""
     if mode == "all":
         return queries
-    keep = is_val(F.col("entity_id"))
-    return queries.filter(keep if mode == "val" else keep | is_fit(F.col("entity_id")))
+    keep = is_val(F.col("entity_id"), settings.val_share)
+    return queries.filter(keep if mode == "val" else keep | is_fit(F.col("entity_id"), settings.fit_share))
 
 
 def capped(rows: DataFrame, n: int, *keys: str, seed: int = 0) -> DataFrame:

@@ -74,7 +74,7 @@ class Pipeline:
     def block(self) -> None:
         for split, mode in (("train", "fit"), ("test", "all")):
             left, right = self.sides(split)
-            found = blocking.block(folds.query_filter(left, mode), right, self.settings)
+            found = blocking.block(folds.query_filter(left, mode, self.settings), right, self.settings)
             tsv.write_stage(found, self.stage(f"candidates_{split}"), ("country",))
 
     def features(self) -> None:
