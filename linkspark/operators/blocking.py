@@ -86,23 +86,37 @@ def touched(probe: DataFrame, targets: DataFrame, settings: Settings = DEFAULT)
     return acc.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= settings.rerank).drop("r")
 
 
+def vectors(weighted: DataFrame, tag: str) -> DataFrame:
+    """One row a record: its weighted features of name and address as maps from a 64-bit hash to the weight, and their norms."""
+    fid = F.xxhash64("grp", "feat")
+
+    def part(name: bool) -> list:
+        mine = is_name() if name else ~is_name()
+        entries = F.collect_list(F.when(mine, F.struct(fid.alias("f"), "w")))
+        norm = F.sqrt(F.sum(F.when(mine, F.col("w")).otherwise(0.0)))
+        side = "name" if name else "addr"
+        return [F.map_from_entries(entries).alias(f"{tag}_{side}"), norm.alias(f"{tag}_norm_{side}")]
+
+    return weighted.groupBy("country", F.col("id").alias(tag)).agg(*part(True), *part(False))
+
+
 def cosines(pairs: DataFrame, queries: DataFrame, targets: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """(country, q, d, cos_name, cos_addr, score) over all shared features of the pairs.
 
-    Weighted features travel as one array a record; the pairs' sets are merged by
-    one join of the pairs' features, summed map-side before the shuffle.
+    A pair first meets its target's features (hashes alone), then its query's weights; the
+    last join leaves it partitioned by query, as the top k needs it.
     """
-    qn = norms(queries).select("country", F.col("id").alias("q"), F.col("norm_name").alias("qn"), F.col("norm_addr").alias("qa"))
-    dn = norms(targets).select("country", F.col("id").alias("d"), F.col("norm_name").alias("dn"), F.col("norm_addr").alias("da"))
-    qf = queries.select("country", F.col("id").alias("q"), "grp", "feat", "w")
-    df = targets.select("country", F.col("id").alias("d"), "grp", "feat")
-    shared = pairs.select("country", "q", "d").join(qf, ["country", "q"]).join(df, ["country", "d", "grp", "feat"])
-    part = lambda name: F.sum(F.when(is_name() if name else ~is_name(), F.col("w")).otherwise(0.0))
-    sums = shared.groupBy("country", "q", "d").agg(part(True).alias("sn"), part(False).alias("sa"))
-    both = sums.join(qn, ["country", "q"]).join(dn, ["country", "d"])
-    cos = lambda s, a, b: F.coalesce(F.try_divide(F.col(s), F.col(a) * F.col(b)), F.lit(0.0))
-    both = both.withColumn("cos_name", cos("sn", "qn", "dn")).withColumn("cos_addr", cos("sa", "qa", "da"))
-    return both.select("country", "q", "d", "cos_name", "cos_addr", (F.col("cos_name") + settings.addr_weight * F.col("cos_addr")).alias("score"))
+    q, d = vectors(queries, "q"), vectors(targets, "d")
+    d = d.select("country", "d", *[F.map_keys(f"d_{s}").alias(f"d_{s}") for s in ("name", "addr")], "d_norm_name", "d_norm_addr")
+    both = pairs.select("country", "q", "d").join(d, ["country", "d"]).join(q, ["country", "q"])
+
+    def cos(side: str):
+        shared = F.array_intersect(F.map_keys(f"q_{side}"), f"d_{side}")
+        total = F.aggregate(shared, F.lit(0.0), lambda a, f: a + F.element_at(F.col(f"q_{side}"), f))
+        return F.coalesce(F.try_divide(total, F.col(f"q_norm_{side}") * F.col(f"d_norm_{side}")), F.lit(0.0))
+
+    both = both.select("country", "q", "d", cos("name").alias("cos_name"), cos("addr").alias("cos_addr"))
+    return both.withColumn("score", F.col("cos_name") + settings.addr_weight * F.col("cos_addr"))
 
 
 def top(scored: DataFrame, k: int) -> DataFrame:
