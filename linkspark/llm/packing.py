@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Tokenised words that one worker remembers, in each of two generations.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 120_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 

@@ -73,11 +73,11 @@ class Words:
         return mix(ranges(h, at, at + n, GRAM))
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def pieces(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
     """Cuts a batch into runs of rows of about ``most`` bytes of text: (first row, texts). A longer text stands alone; null is empty."""
     run, size, at = [], 0, 0
-    for i, t in enumerate(batch.column(column).cast(pa.binary()).to_pylist()):
-        t = t or b""
+    for i, t in enumerate(batch.column(column).cast(pa.binary())):
+        t = t.as_py() or b""
         if run and size + len(t) > most:
             yield at, run
             run, size, at = [], 0, i
