@@ -110,5 +110,7 @@ def keep_good(docs: DataFrame, **settings) -> DataFrame:
     failed = (F.col("n_words") < settings.get("least_words", 50)) | (100 * F.col("n_repeat_words") > settings.get("repeat_percent", 50) * F.col("n_words"))
     facts = stash(facts.select("_row", "_host", failed.alias("_failed")), "host-rules")
     verdicts = host_verdicts(facts.select(F.col("_host").alias("host"), F.col("_failed").alias("failed")), limit).select("host", "host_ok")
+    # written, so that their size is known when the join is planned
+    verdicts = stash(verdicts, "host-verdicts")
     good = facts.filter(~F.col("_failed")).join(verdicts, F.col("_host").eqNullSafe(F.col("host")), "left").filter("host_ok")
     return good.select(*[F.col("_row")[c].alias(c) for c in kept_cols])
