@@ -14,7 +14,7 @@ from .common import delete, n_words, stash
 from .textkernel import U, Words, list_array, mix, pieces
 
 #: Words of the k-gram by which positions are selected.
-GRAM = 16
+GRAM = 24
 #: Suffixes with a common k-gram that one task sorts at most; more frequent ones are counted window by window.
 GROUP = 2048
 
@@ -54,43 +54,58 @@ def anchors(slim: DataFrame, length: int) -> DataFrame:
 
 
 def contexts(texts: DataFrame, length: int) -> DataFrame:
-    """(id, th, pos, gram, hot, around) for ``texts(id, th, text, at)``: the words' hashes around each position in at.
+    """(gram, id, th, pos, around) for ``texts(id, th, text, at)``: 32-bit hashes of the words around each position in at.
 
-    ``around`` has the ``length - GRAM`` words left of the k-gram and as many right of
-    it; beyond the text's ends stand numbers that equal no other. For a hot position
-    it has instead the hashes of the windows of ``length`` words that hold its k-gram,
-    by how far the k-gram stands in them; 0 if a window does not fit.
+    First come the ``length - GRAM`` words left of the k-gram, the nearest first, then as
+    many right of it; beyond the text's ends stand numbers that depend on the text and place.
     """
     side = length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                places = batch.column(3).to_pylist()
+                ids, hashes, places = batch.column(0), batch.column(1), batch.column(3)
                 for start, texts in pieces(batch):
                     w = Words(texts, lower=True)
-                    h, grams, windows = w.hash, w.grams(GRAM), w.grams(length)
-                    for i in range(len(texts)):
-                        at = places[start + i]
-                        lo, hi = int(w.lo[i]), int(w.hi[i])
-                        pos = np.array([p["pos"] for p in at], dtype=np.int64)
-                        hot = np.array([p["hot"] for p in at], dtype=bool)
-                        # words left of the k-gram from the nearest on, then those right of it
-                        index = lo + np.concatenate([pos[:, None] - 1 - np.arange(side), pos[:, None] + GRAM + np.arange(side)], axis=1)
-                        inside = (index >= lo) & (index < hi)
-                        alone = mix(mix(np.array([batch.column(1)[start + i].as_py()], dtype=np.int64).view(U)) + (np.arange(len(pos) * 2 * side, dtype=U) + (pos.astype(U) << U(32)).repeat(2 * side)))
-                        around = np.where(inside, h[np.clip(index, 0, max(len(h) - 1, 0))], alone.reshape(len(pos), 2 * side))
-                        begin = lo + pos[:, None] - np.arange(side + 1)
-                        fits = (begin >= lo) & (begin + length <= hi)
-                        held = np.where(fits, windows[np.clip(begin, 0, max(len(windows) - 1, 0))], U(0)) if len(windows) else np.zeros(begin.shape, dtype=U)
-                        lists = [held[j] if hot[j] else around[j] for j in range(len(pos))]
-                        n = len(pos)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([batch.column(0)[start + i].as_py()] * n, pa.int64()), pa.array([batch.column(1)[start + i].as_py()] * n, pa.int64()), pa.array(pos, pa.int32()), pa.array(grams[lo + pos].view(np.int64)), pa.array(hot), list_array(np.concatenate(lists).view(np.int64), np.array([len(x) for x in lists]), pa.int64())],
-                            names=["id", "th", "pos", "gram", "hot", "around"],
-                        )
-
-    return texts.select("id", "th", "text", "at").mapInArrow(run, "id long, th long, pos int, gram long, hot boolean, around array<long>")
+                    at = places.slice(start, len(texts))
+                    pos = at.flatten().to_numpy().astype(np.int64)
+                    row = np.repeat(np.arange(len(texts)), at.value_lengths().to_numpy())
+                    lo, hi = w.lo[row], w.hi[row]
+                    index = (lo + pos)[:, None] + np.concatenate([-1 - np.arange(side), GRAM + np.arange(side)])
+                    inside = (index >= lo[:, None]) & (index < hi[:, None])
+                    own = hashes.slice(start, len(texts)).to_numpy().view(U)[row] + pos.astype(U)
+                    alone = mix(mix(own)[:, None] + np.arange(2 * side, dtype=U))
+                    around = np.where(inside, w.hash[np.clip(index, 0, max(len(w.hash) - 1, 0))], alone) if len(pos) else np.zeros((0, 2 * side), dtype=U)
+                    flat = (around & U(0xFFFFFFFF)).astype(np.uint32).view(np.int32).ravel()
+                    take = pa.array(start + row)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(w.grams(GRAM)[lo + pos].view(np.int64)), ids.take(take), hashes.take(take), pa.array(pos, pa.int32()), list_array(flat, np.full(len(pos), 2 * side), pa.int32())],
+                        names=["gram", "id", "th", "pos", "around"],
+                    )
+
+    return texts.select("id", "th", "text", "at").mapInArrow(run, "gram long, id long, th long, pos int, around array<int>")
+
+
+def held_windows(texts: DataFrame, length: int) -> DataFrame:
+    """(id, th, start, window) for ``texts(id, th, text, at)``: hashes of all windows of ``length`` words that hold the k-gram at a position in at."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                ids, hashes, places = batch.column(0), batch.column(1), batch.column(3)
+                for start, texts in pieces(batch):
+                    w = Words(texts, lower=True)
+                    windows = w.grams(length)
+                    at = places.slice(start, len(texts))
+                    pos = at.flatten().to_numpy().astype(np.int64)
+                    row = np.repeat(np.arange(len(texts)), at.value_lengths().to_numpy())
+                    begin = pos[:, None] - np.arange(length - GRAM + 1)
+                    fits = (begin >= 0) & ((w.lo[row][:, None] + begin + length) <= w.hi[row][:, None])
+                    found = np.unique(np.stack([np.broadcast_to(row[:, None], begin.shape)[fits], begin[fits]]), axis=1)
+                    take = pa.array(start + found[0])
+                    yield pa.RecordBatch.from_arrays([ids.take(take), hashes.take(take), pa.array(found[1], pa.int64()), pa.array(windows[w.lo[found[0]] + found[1]].view(np.int64))], names=["id", "th", "start", "window"])
+
+    return texts.select("id", "th", "text", "at").mapInArrow(run, "id long, th long, start long, window long")
 
 
 def neighbours(gram: np.ndarray, ids: np.ndarray, th: np.ndarray, pos: np.ndarray, around: np.ndarray, length: int) -> list[np.ndarray]:
@@ -110,7 +125,8 @@ def neighbours(gram: np.ndarray, ids: np.ndarray, th: np.ndarray, pos: np.ndarra
     lcp = np.where(same.all(axis=1), side, same.argmin(axis=1))
     lcp = np.concatenate([[-1], np.where(gram[1:] == gram[:-1], lcp, -1)])
     before, at = np.zeros(len(ids), dtype=U), np.arange(len(ids))
-    out = []
+    # windows of one suffix overlap, so what it repeats is one passage: from its largest t to its smallest
+    low, high, least = np.full(len(ids), -1), np.full(len(ids), -1), np.full(len(ids), np.iinfo(np.int64).max)
     for t in range(side + 1):
         if t:
             before = mix(before * U(0xD6E8FEB86659FD93) + left[:, t - 1])
@@ -126,20 +142,23 @@ def neighbours(gram: np.ndarray, ids: np.ndarray, th: np.ndarray, pos: np.ndarra
             first = np.full(len(count), np.iinfo(np.int64).max)
             np.minimum.at(first, group, ids[row])
             row, group = row[hit], group[hit]
-            out.append((ids[row], th[row], pos[row] - t, pos[row] - t + length, first[group]))
-    return [np.concatenate(x) for x in zip(*out, strict=True)]
+            low[row] = np.where(low[row] < 0, t, low[row])
+            high[row] = t
+            least[row] = np.minimum(least[row], first[group])
+    found = np.flatnonzero(high >= 0)
+    return [ids[found], th[found], pos[found] - high[found], pos[found] - low[found] + length, least[found]]
 
 
 def sorted_suffixes(around: DataFrame, length: int) -> DataFrame:
     """(id, th, start, end, first) of the matches among ``around``: suffixes dealt and sorted by k-gram, some thousand at a time, none of whose k-grams is cut."""
     names = ["id", "th", "start", "end", "first"]
 
-    def solve(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+    def solve(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         gram, ids, th, pos = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in range(4))
-        flat = np.concatenate([p.column(4).flatten().to_numpy() for p in parts]).view(U)
+        flat = np.concatenate([p.column(4).flatten().to_numpy() for p in parts]).view(np.uint32).astype(U)
         with np.errstate(over="ignore"):
             found = neighbours(gram, ids, th, pos, flat.reshape(len(ids), -1), length)
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=names) if found else None
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -153,13 +172,12 @@ def sorted_suffixes(around: DataFrame, length: int) -> DataFrame:
                 rows += cut
                 # the last k-gram goes on; before it stand whole ones, unless all is one
                 if rows >= GROUP and cut:
-                    if (out := solve(held)) is not None:
-                        yield out
+                    yield solve(held)
                     held, rows = [], 0
                 held.append(part.slice(cut))
                 rows += part.num_rows - cut
-        if rows and (out := solve(held)) is not None:
-            yield out
+        if rows:
+            yield solve(held)
 
     dealt = around.select("gram", "id", "th", "pos", "around").repartition("gram").sortWithinPartitions("gram")
     return dealt.mapInArrow(run, ", ".join(f"{n} long" for n in names))
@@ -196,17 +214,21 @@ def repeated_passages(docs: DataFrame, length: int = 50) -> DataFrame:
     # equal texts: 64 bits and the length tell them apart
     classes = stash(slim.groupBy("th", F.length("text").alias("size")).agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "suffix-classes")
     found = stash(anchors(slim, length), "suffix-anchors")
-    shared = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    # a k-gram of one place in one text, or its copies, has no repeat
+    least_most = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("th", "pos")]
+    shared = found.groupBy("gram").agg(F.count("*").alias("n"), *least_most).filter("min_th <> max_th OR min_pos <> max_pos").select("gram", (F.col("n") > GROUP).alias("hot"))
     reps = classes.select(F.col("rep").alias("id"), "th")
-    kept = found.join(shared, "gram").groupBy("id", "th").agg(F.collect_list(F.struct("pos", (F.col("n") > GROUP).alias("hot"))).alias("at"))
+    kept = found.join(shared, "gram").groupBy("id", "th").agg(F.collect_list(F.struct("hot", "pos")).alias("at"))
     kept = kept.join(reps, ["id", "th"], "left_semi")
-    texts = slim.join(kept, ["id", "th"]).dropDuplicates(["id", "th"])
-    around = stash(contexts(texts, length), "suffix-contexts")
+    texts = stash(slim.join(kept, ["id", "th"]).dropDuplicates(["id", "th"]), "suffix-texts")
     delete(found)
 
-    some = sorted_suffixes(around.filter("NOT hot"), length)
-    windows = around.filter("hot").select("id", "th", "pos", F.posexplode("around").alias("t", "window")).filter("window <> 0")
-    windows = windows.select("id", "th", (F.col("pos") - F.col("t")).cast("long").alias("start"), "window").distinct()
+    def places(hot: bool) -> DataFrame:
+        at = F.transform(F.filter("at", lambda x: x["hot"] == hot), lambda x: x["pos"])
+        return texts.withColumn("at", at).filter(F.size("at") > 0)
+
+    some = sorted_suffixes(contexts(places(False), length), length)
+    windows = held_windows(places(True), length)
     twice = windows.groupBy("window").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1").drop("n")
     many = windows.join(twice, "window").select("id", "th", "start", (F.col("start") + length).alias("end"), "first")
     both = some.union(many).groupBy("id", "th", "start", "end").agg(F.min("first").alias("first"))
