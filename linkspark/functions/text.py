@@ -91,6 +91,22 @@ def components(folded: Column) -> Column:
     return F.filter(F.transform(F.split(folded, COMMA), base_tokens), lambda x: F.size(x) > 0)
 
 
+def component_count(address: Column) -> Column:
+    return F.size(F.split(address, ","))
+
+
+def last_component(address: Column) -> Column:
+    return F.trim(F.element_at(F.split(address, ","), -1))
+
+
+def house_number(address: Column) -> Column:
+    return F.regexp_extract(address, "[0-9]+", 0)
+
+
+def last_word(text: Column) -> Column:
+    return F.lower(F.element_at(F.split(text, " +"), -1))
+
+
 #: Vowels, consonants and signs by their place in the block of a Brahmic script; the blocks lie in parallel from U+0900 to U+0D7F.
 VOWELS = {5: "a", 6: "a", 7: "i", 8: "i", 9: "u", 10: "u", 11: "r", 14: "e", 15: "e", 16: "ai", 18: "o", 19: "o", 20: "au"}
 CONSONANTS = dict(zip(range(0x15, 0x3A), "k kh g gh n c ch j jh n t th d dh n t th d dh n n p ph b bh m y r r l l l v sh sh s h".split(), strict=True))

@@ -548,11 +548,16 @@ QUALIFY row_number() OVER (PARTITION BY country, noisy ORDER BY n DESC, canon) =
 
 @query
 def dictionary_coverage(spark, sf):
-    rows = records(spark, sf).select("country", F.explode(T.name_tokens(T.nfkc_casefold("text"))).alias("tok"))
+    """Words outside ASCII, and the share of them that the more frequent words of their country cover."""
+    rows = records(spark, sf).select("country", F.explode(F.split(F.lower("text"), BLANK)).alias("tok"))
     words = rows.groupBy("country", "tok").agg(F.count("*").alias("n")).filter("n >= 20").select("country", F.col("tok").alias("noisy"))
     return report.dictionary_coverage(rows, words).withColumn("covered", F.round("covered", 6))
 
 
+ORACLES["dictionary_coverage"] = rf"""WITH {RECORDS}, w AS (SELECT country, unnest(string_split_regex(lower(text), '[ \t\n\r]+')) AS tok FROM rec), c AS (SELECT country, tok, count(*) AS n FROM w GROUP BY ALL)
+SELECT country, CAST(sum(n) AS BIGINT) AS n, round(sum(CASE WHEN n >= 20 THEN n ELSE 0 END) / sum(n), 6) AS covered FROM c WHERE regexp_matches(tok, '[^\x00-\x7f]') GROUP BY country"""
+
+
 # ------------------------------------------------------------------ decisions
 def probabilities(spark: SparkSession, sf: str) -> DataFrame:
     return candidates(spark, sf).select("s1_id", "cand_id", F.round(F.col("score") / 2.3, 9).alias("prob"))
@@ -746,6 +751,18 @@ h AS (SELECT a.f = b.f AND a.f <> '' AS f, a.l = b.l AND a.l <> '' AS l, a.p = b
 SELECT unnest(['first', 'longest', 'prefix', 'any']) AS key, unnest([round(avg(CAST(f AS INTEGER)), 6), round(avg(CAST(l AS INTEGER)), 6), round(avg(CAST(p AS INTEGER)), 6), round(avg(CAST(f OR l OR p AS INTEGER)), 6)]) AS recall FROM h"""
 
 
+@query
+def address_parts(spark, sf):
+    """Components of an address, the last of them, the house number and the last word of the name."""
+    a = F.col("business_address")
+    return records(spark, sf).select("entity_id", T.component_count(a).alias("parts"), T.last_component(a).alias("last_part"), T.house_number(a).alias("house"), T.last_word(F.col("business_name")).alias("last_word"))
+
+
+ORACLES["address_parts"] = rf"""WITH {RECORDS}
+SELECT entity_id, CAST(length(business_address) - length(replace(business_address, ',', '')) + 1 AS INTEGER) AS parts, trim(string_split(business_address, ',')[-1]) AS last_part,
+  regexp_extract(business_address, '[0-9]+') AS house, lower(string_split(business_name, ' ')[-1]) AS last_word FROM rec"""
+
+
 @query
 def key_checks(spark, sf):
     rows = records(spark, sf).filter(F.col("entity_id").startswith("S1-"))
@@ -799,6 +816,9 @@ def capped_sample(spark, sf):
     return folds.capped(table(spark, sf, "orders"), 500, "o_orderkey").select("o_orderkey", "o_totalprice")
 
 
+ORACLES["capped_sample"] = f"WITH {CRC} SELECT o_orderkey, o_totalprice FROM orders, crc ORDER BY {crc_sql(chr(39) + '0:' + chr(39) + ' || o_orderkey')}, o_orderkey LIMIT 500"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
