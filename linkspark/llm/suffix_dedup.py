@@ -17,6 +17,8 @@ from .textkernel import U, Words, list_array, mix, pieces
 GRAM = 24
 #: Suffixes with a common k-gram that one task sorts at most; more frequent ones are counted window by window.
 GROUP = 2048
+#: Repeated windows of more frequent k-grams that workers look up in a copy of their own; beyond it they are joined.
+LOOKUP = 300_000
 
 
 def anchors_of(w: Words, grams: np.ndarray, lo: int, hi: int, length: int) -> np.ndarray:
@@ -86,28 +88,57 @@ def contexts(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("id", "th", "text", "at").mapInArrow(run, "gram long, id long, th long, pos int, around array<int>")
 
 
+def windows_at(w: Words, at: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, window, fits) of the windows of ``length`` words that hold the k-gram at each of the texts' positions, a line of them a position."""
+    pos = at.flatten().to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy())
+    begin = pos[:, None] - np.arange(length - GRAM + 1)
+    fits = (begin >= 0) & ((w.lo[row][:, None] + begin + length) <= w.hi[row][:, None])
+    windows = w.grams(length)
+    held = windows[np.clip(w.lo[row][:, None] + begin, 0, max(len(windows) - 1, 0))].view(np.int64) if len(windows) else np.zeros(begin.shape, dtype=np.int64)
+    return row, begin, held, fits
+
+
 def held_windows(texts: DataFrame, length: int) -> DataFrame:
     """(id, th, start, window) for ``texts(id, th, text, at)``: hashes of all windows of ``length`` words that hold the k-gram at a position in at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                ids, hashes, places = batch.column(0), batch.column(1), batch.column(3)
                 for start, texts in pieces(batch):
-                    w = Words(texts, lower=True)
-                    windows = w.grams(length)
-                    at = places.slice(start, len(texts))
-                    pos = at.flatten().to_numpy().astype(np.int64)
-                    row = np.repeat(np.arange(len(texts)), at.value_lengths().to_numpy())
-                    begin = pos[:, None] - np.arange(length - GRAM + 1)
-                    fits = (begin >= 0) & ((w.lo[row][:, None] + begin + length) <= w.hi[row][:, None])
-                    found = np.unique(np.stack([np.broadcast_to(row[:, None], begin.shape)[fits], begin[fits]]), axis=1)
-                    take = pa.array(start + found[0])
-                    yield pa.RecordBatch.from_arrays([ids.take(take), hashes.take(take), pa.array(found[1], pa.int64()), pa.array(windows[w.lo[found[0]] + found[1]].view(np.int64))], names=["id", "th", "start", "window"])
+                    row, begin, held, fits = windows_at(Words(texts, lower=True), batch.column(3).slice(start, len(texts)), length)
+                    rows, begin, held = np.broadcast_to(row[:, None], begin.shape)[fits], begin[fits], held[fits]
+                    _, one = np.unique(np.stack([rows, begin]), axis=1, return_index=True)
+                    take = pa.array(start + rows[one])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(begin[one]), pa.array(held[one])], names=["id", "th", "start", "window"])
 
     return texts.select("id", "th", "text", "at").mapInArrow(run, "id long, th long, start long, window long")
 
 
+def looked_up(texts: DataFrame, twice: DataFrame, length: int) -> DataFrame:
+    """(id, th, start, end, first) for ``texts(id, th, text, at)``: what windows in ``twice(window, first)``, a table of checked size, repeat around each position."""
+    table = twice.orderBy("window").toArrow()
+    known = texts.sparkSession.sparkContext.broadcast((table["window"].to_numpy(), table["first"].to_numpy()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows, firsts = known.value
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for start, texts in pieces(batch):
+                    row, begin, held, fits = windows_at(Words(texts, lower=True), batch.column(3).slice(start, len(texts)), length)
+                    place = np.minimum(np.searchsorted(windows, held), len(windows) - 1)
+                    hit = fits & (windows[place] == held)
+                    some = hit.any(axis=1)
+                    # windows around one position overlap: together they are one passage
+                    low = np.where(hit, begin, np.iinfo(np.int64).max).min(axis=1)[some]
+                    high = np.where(hit, begin, -1).max(axis=1)[some]
+                    first = np.where(hit, firsts[place], np.iinfo(np.int64).max).min(axis=1)[some]
+                    take = pa.array(start + row[some])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(low), pa.array(high + length), pa.array(first)], names=["id", "th", "start", "end", "first"])
+
+    return texts.select("id", "th", "text", "at").mapInArrow(run, "id long, th long, start long, end long, first long")
+
+
 def neighbours(gram: np.ndarray, ids: np.ndarray, th: np.ndarray, pos: np.ndarray, around: np.ndarray, length: int) -> list[np.ndarray]:
     """Sorts the suffixes of each k-gram and finds, with what stands left of them, the windows that occur twice.
 
@@ -217,6 +248,8 @@ def repeated_passages(docs: DataFrame, length: int = 50) -> DataFrame:
     # a k-gram of one place in one text, or its copies, has no repeat
     least_most = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("th", "pos")]
     shared = found.groupBy("gram").agg(F.count("*").alias("n"), *least_most).filter("min_th <> max_th OR min_pos <> max_pos").select("gram", (F.col("n") > GROUP).alias("hot"))
+    # written, so that the join deals both sides anew and Spark can split a frequent k-gram
+    shared = stash(shared, "suffix-grams")
     reps = classes.select(F.col("rep").alias("id"), "th")
     kept = found.join(shared, "gram").groupBy("id", "th").agg(F.collect_list(F.struct("hot", "pos")).alias("at"))
     kept = kept.join(reps, ["id", "th"], "left_semi")
@@ -229,8 +262,12 @@ def repeated_passages(docs: DataFrame, length: int = 50) -> DataFrame:
 
     some = sorted_suffixes(contexts(places(False), length), length)
     windows = held_windows(places(True), length)
-    twice = windows.groupBy("window").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1").drop("n")
-    many = windows.join(twice, "window").select("id", "th", "start", (F.col("start") + length).alias("end"), "first")
+    twice = stash(windows.groupBy("window").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1").drop("n"), "suffix-windows")
+    size = twice.count()
+    if 0 < size <= LOOKUP:
+        many = looked_up(places(True), twice, length)
+    else:
+        many = windows.join(twice, "window").select("id", "th", "start", (F.col("start") + length).alias("end"), "first")
     both = some.union(many).groupBy("id", "th", "start", "end").agg(F.min("first").alias("first"))
     passages = stash(merged(both, ["id", "th"]), "suffix-passages")
 

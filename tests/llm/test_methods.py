@@ -157,9 +157,10 @@ def covered(docs, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize("group", [2048, 3])
-def test_repeated_passages(spark, monkeypatch, group):
+@pytest.mark.parametrize(("group", "lookup"), [(2048, 9), (3, 100_000), (3, 1)])
+def test_repeated_passages(spark, monkeypatch, group, lookup):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    monkeypatch.setattr(suffix_dedup, "LOOKUP", lookup)
     passage, other = text_of(70), text_of(52)
     docs = []
     for i in range(60):
