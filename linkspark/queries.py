@@ -2,7 +2,8 @@
 
 Documents serve as records of three sources: doc_id says which, lang is the country, the
 first six words are the name and the next twelve the address. Equal texts of one
-language are the true matches.
+language are the true matches. The SQL fixes these 18 words; the queries named
+``*_whole`` take all words from the seventh on as the address.
 """
 
 from __future__ import annotations
@@ -40,12 +41,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 BLANK = "[ \\t\\n\\r]+"
 
 
-def records(spark: SparkSession, sf: str) -> DataFrame:
+def records(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     tok = F.filter(F.split("text", BLANK), lambda x: x != "")
     rows = docs.select("doc_id", "text", "lang", tok.alias("tok"))
     part = lambda i: F.array_join(F.slice("tok", i, 3), " ")
-    addr = F.array_join(F.filter(F.array(*[part(i) for i in (7, 10, 13, 16)]), lambda x: x != ""), ", ")
+    threes = F.transform(F.sequence(F.lit(7), F.greatest(F.size("tok"), F.lit(7)), F.lit(3)), part) if whole else F.array(*[part(i) for i in (7, 10, 13, 16)])
+    addr = F.array_join(F.filter(threes, lambda x: x != ""), ", ")
     return rows.select(
         F.concat(F.lit("S"), (1 + F.col("doc_id") % 3).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
         F.array_join(F.slice("tok", 1, 6), " ").alias("business_name"), addr.alias("business_address"), F.col("lang").alias("country"), "text",
@@ -68,6 +70,11 @@ def scan_records(spark, sf):
 ORACLES["scan_records"] = f"WITH {RECORDS} SELECT entity_id, business_name, business_address, country FROM rec"
 
 
+@query
+def scan_whole(spark, sf):
+    return records(spark, sf, whole=True).select("entity_id", "business_name", "business_address", "country")
+
+
 def truth_table(spark: SparkSession, sf: str) -> DataFrame:
     """source1_entity_id, matched_entity_ids: a list for each record of the first source."""
     rows = records(spark, sf).select("entity_id", "country", F.md5("text").alias("h"))
@@ -261,6 +268,11 @@ def clean_records(spark, sf):
     return N.clean(records(spark, sf).drop("text"))
 
 
+@query
+def clean_whole(spark, sf):
+    return N.clean(records(spark, sf, whole=True).drop("text"))
+
+
 @query
 def clean_with_dictionary(spark, sf):
     """Cleaning with a dictionary mined from the true pairs, both in one plan."""
@@ -270,9 +282,9 @@ def clean_with_dictionary(spark, sf):
 
 
 # ------------------------------------------------------------------ blocking
-def view(spark: SparkSession, sf: str) -> DataFrame:
+def view(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
     """Clean records of a plain kind, which SQL can follow: letters and digits, in lower case."""
-    rows = records(spark, sf)
+    rows = records(spark, sf, whole)
     plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9 ]", ""), " +", " "))
     name, addr = plain("business_name"), plain("business_address")
     return rows.select("entity_id", "country", name.alias("name_core"), F.lit("").alias("name_alias"), addr.alias("addr_clean"), F.regexp_extract(addr, "[0-9]+", 0).alias("addr_first_num"), F.lit("").alias("addr_postcode"))
@@ -309,8 +321,8 @@ cand AS (SELECT * FROM (SELECT country, q AS s1_id, d AS cand_id, cn AS cos_name
 BLOCK = f"WITH {RECORDS}, {VIEW}"
 
 
-def sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    rows = view(spark, sf)
+def sides(spark: SparkSession, sf: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    rows = view(spark, sf, whole)
     one = F.col("entity_id").startswith("S1-")
     return rows.filter(one), rows.filter(~one)
 
@@ -365,13 +377,22 @@ def touch_score(spark, sf):
 ORACLES["touch_score"] = f"{BLOCK} SELECT country, q, d, round(acc, 6) AS acc FROM tc"
 
 
-def candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return B.block(*sides(spark, sf))
+def candidates(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
+    return B.block(*sides(spark, sf, whole))
+
+
+def shown(rows: DataFrame) -> DataFrame:
+    return rows.select("country", "s1_id", "cand_id", F.round("cos_name", 6).alias("cos_name"), F.round("cos_addr", 6).alias("cos_addr"), F.round("score", 6).alias("score"), "rank")
 
 
 @query
 def block_topk(spark, sf):
-    return candidates(spark, sf).select("country", "s1_id", "cand_id", F.round("cos_name", 6).alias("cos_name"), F.round("cos_addr", 6).alias("cos_addr"), F.round("score", 6).alias("score"), "rank")
+    return shown(candidates(spark, sf))
+
+
+@query
+def block_whole(spark, sf):
+    return shown(candidates(spark, sf, whole=True))
 
 
 ORACLES["block_topk"] = f"{BLOCK} SELECT country, s1_id, cand_id, round(cos_name, 6) AS cos_name, round(cos_addr, 6) AS cos_addr, round(score, 6) AS score, rank FROM cand"
