@@ -98,12 +98,12 @@ class Source:
     def __init__(self, handle):
         self.handle, self.size, self.at, self.data = handle, handle.size(), 0, b""
 
-    def get(self, position: int, most: int = CHUNK) -> bytes:
-        """Bytes from ``position``, at least one unless the file ends there."""
-        if not self.at <= position < self.at + len(self.data):
+    def get(self, position: int, least: int = 1) -> bytes:
+        """Bytes from ``position``, at least ``least`` unless the file ends before."""
+        if not self.at <= position <= self.at + len(self.data) - min(least, self.size - position):
             self.handle.seek(position)
             self.at, self.data = position, self.handle.read(CHUNK)
-        return self.data[position - self.at : position - self.at + most]
+        return self.data[position - self.at :]
 
 
 def member(source: Source, start: int, whole: bool = True) -> tuple[bytes, int] | None:
@@ -149,7 +149,7 @@ def first_member(source: Source, start: int, end: int) -> int | None:
     """The first position from ``start``, before ``end``, where a record's member begins: magic that decodes to a WARC head, as does what follows it."""
     at = start
     while at < end:
-        data = source.get(at)
+        data = source.get(at, len(MAGIC))
         if not data:
             return None
         hit = data.find(MAGIC)

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,20 @@ def covered(docs, length):
     return sorted(out)
 
 
+def test_warc_magic_across_the_buffer(tmp_path):
+    noise = random.Random(5).randbytes(600_000).hex().encode()
+    big, small = (warc.record("response", f"urn:page:{i}", "u", None, "X", p) for i, p in ((1, noise), (2, b"small")))
+    assert len(big) > 2 * warc.CHUNK
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(big + big + small)
+    for where in (len(big), 2 * len(big)):
+        for back in range(5):
+            start = where - warc.CHUNK + back
+            with pa.OSFile(str(path)) as handle:
+                got = list(warc.records_in(handle, start, 3 * len(big)))
+            assert [at for at, _, _ in got] == [x for x in (len(big), 2 * len(big)) if x >= start]
+
+
 @pytest.mark.parametrize(("group", "lookup"), [(2048, 9), (3, 100_000), (3, 1)])
 def test_repeated_passages(spark, monkeypatch, group, lookup):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
