@@ -18,8 +18,6 @@ from .common import fresh_dir, stash
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a range that one reading task scans, and of one read from storage.
 SPLIT, CHUNK = 8 << 20, 1 << 18
-#: A record's head is refused beyond this size.
-HEAD = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 WRITTEN = "path string, bytes long, records long"
@@ -132,7 +130,7 @@ def member(source: Source, start: int, whole: bool = True) -> tuple[bytes, int]
 
 
 def parse(data: bytes) -> tuple[dict[str, str], bytes] | None:
-    end = data.find(b"\r\n\r\n", 0, HEAD)
+    end = data.find(b"\r\n\r\n")
     if end < 0:
         return None
     lines = data[:end].decode("utf-8", "replace").split("\r\n")

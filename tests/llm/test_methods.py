@@ -172,6 +172,16 @@ def test_warc_magic_across_the_buffer(tmp_path):
             assert [at for at, _, _ in got] == [x for x in (len(big), 2 * len(big)) if x >= start]
 
 
+def test_warc_heads_of_any_size(tmp_path):
+    url = "http://x/" + "y" * (3 << 20)
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(warc.record("response", "urn:page:1", url, None, "X", b"page") + warc.record("response", "urn:page:2", "u", None, "X", b"next"))
+    with pa.OSFile(str(path)) as handle:
+        got = list(warc.records_in(handle, 0, path.stat().st_size))
+    assert [head["warc-target-uri"] for _, head, _ in got] == [url, "u"]
+    assert got[0][2].endswith(b"\r\n\r\npage")
+
+
 @pytest.mark.parametrize(("group", "lookup"), [(2048, 9), (3, 100_000), (3, 1)])
 def test_repeated_passages(spark, monkeypatch, group, lookup):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
