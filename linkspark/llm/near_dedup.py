@@ -239,16 +239,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each class of near_duplicates(), that with the smallest doc_id, with its columns; rows without shingles or doc_id all stay.
+    """One row of each class of linked rows, that with the smallest doc_id, with its columns; rows without shingles or doc_id all stay.
 
-    Of rows that repeat the doc_id of a class, one stays.
+    Classes are those of near_duplicates(), but where a doc_id stands in several rows each
+    of its texts is in a class of its own, told apart by a hash of doc_id and text.
     """
-    found = near_duplicates(docs, size, percent)
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    again = found.filter("n_shingles > 0 AND kept").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    again = stash(again, "near-again")
-    rest = docs.join(stash(gone, "near-gone"), "doc_id", "left_anti").select(*docs.columns)
-    if again.isEmpty():
-        return rest
-    once = rest.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return rest.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
+    if slim.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        gone = near_duplicates(docs, size, percent).filter(~F.col("kept")).select("doc_id")
+        return docs.join(stash(gone, "near-gone"), "doc_id", "left_anti").select(*docs.columns)
+    number = F.col("doc_id").cast("long")
+    keyed = docs.withColumn("_key", F.when(number.isNotNull(), F.xxhash64(number, F.col("text").cast("string"))))
+    ids = keyed.filter("_key IS NOT NULL").select("_key", number.alias("doc_id")).distinct()
+    found = near_duplicates(keyed.filter("_key IS NOT NULL").select(F.col("_key").alias("doc_id"), "text"), size, percent)
+    found = stash(found.filter("n_shingles > 0").select(F.col("doc_id").alias("_key"), "component_id").distinct(), "near-found")
+    first = found.join(ids, "_key").groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("m")).select("m._key")
+    once = keyed.join(stash(first, "near-first"), "_key", "left_semi").dropDuplicates(["_key"])
+    return keyed.join(found, "_key", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))

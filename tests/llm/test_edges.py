@@ -50,6 +50,14 @@ def test_deduplicate(docs, empty):
     assert near_dedup.deduplicate(empty).count() == 0
 
 
+def test_deduplicate_with_repeated_ids(spark):
+    one, two, three = ("a b c d e f", "g h i j k l", "m n o p q r")
+    rows = [(1, one), (2, one), (2, two), (2, two), (3, two), (4, three), (4, "s t u v w x"), (5, three), (6, ""), (6, ""), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in near_dedup.deduplicate(docs, 3, 85).collect()]
+    assert sorted(got, key=str) == sorted([(1, one), (2, two), (4, three), (4, "s t u v w x"), (6, ""), (6, ""), (None, one)], key=str)
+
+
 def test_mixing(docs, empty):
     rows = mixing.plan(docs).collect()
     assert len(rows) == len(ROWS) and mixing.plan(empty).count() == 0
