@@ -79,6 +79,21 @@ def test_keys_meet_within_the_distance():
         assert chunks.min() <= 1
 
 
+def test_pairs_at_a_lower_threshold(spark):
+    """Pairs at 0.8 whose signatures differ in more symbols than DISTANCE and that share a key."""
+    texts = [[" ".join([f"p{i}x{k}" for k in range(8)] + [f"p{i}{side}"]) for side in "ab"] for i in range(40_000)]
+    docs = []
+    with np.errstate(over="ignore"):
+        sig = [near_dedup.signatures(list(near_dedup.shingle_sets(near_dedup.Words([t[s].encode() for t in texts], lower=True), 1))) for s in (0, 1)]
+    apart = sig[0].view(np.uint16) != sig[1].view(np.uint16)
+    meets = (apart.reshape(-1, near_dedup.CHUNKS, near_dedup.LANES).sum(axis=2) <= 1).any(axis=1)
+    for i in np.flatnonzero((apart.sum(axis=1) > near_dedup.DISTANCE) & (apart.sum(axis=1) <= 18) & meets).tolist():
+        docs += [(2 * i, texts[i][0]), (2 * i + 1, texts[i][1])]
+    assert docs and near_dedup.farthest(85) == 15 and near_dedup.farthest(80) == 18
+    got = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 1, 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in docs}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 300), (300, 50_000)] + [(1000, i) for i in range(1001, 1100)]
     got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
