@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ SPACE = "\\x20\\x09-\\x0D"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one is set only where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset a local one is set, if all runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="linkspark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -30,15 +33,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stashed_at = path
+    return out
 
 
 def delete(df: DataFrame) -> None:
-    """Removes the folder of a stashed table that is no longer read."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
+    """Removes the folder of a table that stash() gave and that is no longer read; any other table is left as it is."""
+    folder = vars(df).get("stashed_at")
+    if folder:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -72,14 +77,11 @@ def components(links: DataFrame) -> DataFrame:
         return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
     edges = stash(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
-    mark = None
-    while True:
+    mark, busy = None, not edges.isEmpty()
+    while busy:
         new = stash(small_star(large_star(edges)), "links")
         state = new.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003), F.sum(F.xxhash64("b", "a") % 998244353)).first()
         delete(edges)
-        edges = new
-        if state == mark:
-            break
-        mark = state
+        edges, busy, mark = new, state != mark, state
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -18,6 +18,8 @@ from .common import fresh_dir, stash
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a range that one reading task scans, and of one read from storage.
 SPLIT, CHUNK = 8 << 20, 1 << 18
+#: Reading tasks at most; beyond so many ranges a task reads several.
+READERS = 100_000
 DATE = "1970-01-01T00:00:00Z"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 WRITTEN = "path string, bytes long, records long"
@@ -29,7 +31,7 @@ def locate(uri: str) -> tuple[fs.FileSystem, str]:
     if re.match(r"file:/+", uri):
         return fs.LocalFileSystem(), "/" + re.sub(r"^file:/+", "", uri)
     if "://" in uri:
-        return fs.FileSystem.from_uri(uri)
+        return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
     return fs.LocalFileSystem(), uri
 
 
@@ -62,8 +64,9 @@ def record(kind: str, ident: str, uri: str, refers: str | None, digest: str, pay
 def write(records: DataFrame, folder: str) -> DataFrame:
     """Writes ``records(record_type, record_id, refers_to, target_uri, digest, payload)`` to ``folder``, an archive a partition.
 
-    Gives (path, bytes, records) of each archive. A file is written under the name of
-    its attempt and renamed when whole, so that a task that runs again replaces it.
+    Gives (path, bytes, records) of each archive. A file has the name of its attempt and
+    counts only if the result names it, so a task can run again, or twice at once, on any
+    storage, without a rename: what an attempt that failed left is never read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,20 +75,18 @@ def write(records: DataFrame, folder: str) -> DataFrame:
         store, base = locate(folder)
         store.create_dir(base, recursive=True)
         context = TaskContext.get()
-        path = f"{base}/part-{context.partitionId():06d}.warc.gz"
-        attempt = f"{base}/_attempt-{context.taskAttemptId()}"
+        name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}.warc.gz"
         count = size = 0
-        with store.open_output_stream(attempt) as out:
+        with store.open_output_stream(f"{base}/{name}", compression=None) as out:
             for batch in batches:
                 for kind, ident, refers, uri, digest, payload in zip(*(c for c in batch.columns), strict=True):
                     member = record(kind.as_py(), ident.as_py(), uri.as_py(), refers.as_py(), digest.as_py(), payload.as_py() or b"")
                     out.write(member)
                     count, size = count + 1, size + len(member)
         if count:
-            store.move(attempt, path)
-            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{path.rsplit('/', 1)[1]}"], "bytes": [size], "records": [count]})
+            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "bytes": [size], "records": [count]})
         else:
-            store.delete_file(attempt)
+            store.delete_file(f"{base}/{name}")
 
     return records.select("record_type", "record_id", "refers_to", "target_uri", "digest", "payload").mapInArrow(run, WRITTEN)
 
@@ -104,11 +105,10 @@ class Source:
         return self.data[position - self.at :]
 
 
-def member(source: Source, start: int, whole: bool = True) -> tuple[bytes, int] | None:
+def member(source: Source, start: int) -> tuple[bytes, int] | None:
     """The WARC record in the gzip member at ``start`` and where it ends, or None if there is none.
 
-    Its first bytes must decode to a WARC version line and then to a whole head; with
-    ``whole`` its checksum must hold too.
+    Its first bytes must decode to a WARC version line, and its checksum must hold.
     """
     unpack, parts, at, seen = zlib.decompressobj(31), [], start, b""
     try:
@@ -122,8 +122,6 @@ def member(source: Source, start: int, whole: bool = True) -> tuple[bytes, int]
                 seen += parts[-1][:9]
                 if not b"WARC/1.".startswith(seen[:7]):
                     return None
-            if not whole and len(seen) >= 7:
-                return seen, at
     except zlib.error:
         return None
     return b"".join(parts), at - len(unpack.unused_data)
@@ -144,7 +142,7 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes] | None:
 
 
 def first_member(source: Source, start: int, end: int) -> int | None:
-    """The first position from ``start``, before ``end``, where a record's member begins: magic that decodes to a WARC head, as does what follows it."""
+    """The first position from ``start``, before ``end``, where a record's member begins: magic whose member decodes to a WARC head, with the right checksum."""
     at = start
     while at < end:
         data = source.get(at, len(MAGIC))
@@ -158,7 +156,7 @@ def first_member(source: Source, start: int, end: int) -> int | None:
         if at >= end:
             return None
         found = member(source, at)
-        if found and parse(found[0]) and (found[1] >= source.size or member(source, found[1], whole=False)):
+        if found and parse(found[0]):
             return at
         at += 1
     return None
@@ -182,12 +180,16 @@ def records_in(handle, start: int, end: int) -> Iterator[tuple[int, dict[str, st
 def read(archives: DataFrame, split: int = SPLIT) -> DataFrame:
     """The records of ``archives(path, bytes)``: RECORD's columns, one row a record.
 
-    Archives are cut into ranges of ``split`` bytes that tasks scan on their own: the
-    first gzip magic in a range that decodes to a WARC head starts its records, and a
-    record belongs to the range in which it starts, so none is read twice or lost. A
-    record's payload is its block without the HTTP head; a revisit's payload is null and
-    payload_bytes what its HTTP head tells. Damaged members are passed over.
+    Archives are cut into ranges of ``split`` bytes that tasks scan on their own, as many
+    tasks as ranges up to READERS: the first gzip magic in a range that decodes to a WARC
+    head starts its records, and a record belongs to the range in which it starts, so none
+    is read twice or lost. A record's payload is its block without the HTTP head; a
+    revisit's payload is null and payload_bytes what its HTTP head tells. A damaged member
+    is passed over, its neighbours are not; an empty table of archives gives no rows. A
+    payload that is an archive itself, so dense that gzip stores it as it is, can look like
+    records to a range that starts inside it.
     """
+    total = archives.agg(F.sum(F.ceil(F.greatest(F.col("bytes"), F.lit(1)) / split))).first()[0] or 1
     ranges = archives.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split).cast("long"))).alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + split, F.col("bytes")).alias("end"))
     names = [x.split()[0] for x in RECORD.split(", ")]
@@ -218,8 +220,8 @@ def read(archives: DataFrame, split: int = SPLIT) -> DataFrame:
         if rows:
             yield flush()
 
-    # one range a row: let tasks take them evenly
-    return ranges.repartition("path", "start").mapInArrow(run, RECORD)
+    # one range a row, dealt in turn to a stated number of tasks, which is never lowered for the rows being small
+    return ranges.repartition(min(int(total), READERS)).mapInArrow(run, RECORD)
 
 
 def digest_of(payload: bytes) -> str:
