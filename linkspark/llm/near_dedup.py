@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +28,8 @@ SYMBOLS, CHUNKS, LANES, BITS = 32, 8, 4, 16
 DISTANCE = 15
 #: Share of pairs at the threshold that may differ in more symbols than are compared further.
 MISS = 3.6e-6
-#: Documents that share a key are paired directly up to this number, and beyond it block by block.
-SMALL, BLOCK = 24, 256
+#: Documents of a block, where those of one key meet; pairs of one document that one task compares.
+BLOCK, PLACE = 1024, 1024
 SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 CHUNK_COLUMNS = [f"c{i}" for i in range(CHUNKS)]
 SIGNATURE_SCHEMA = "n_shingles long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in CHUNK_COLUMNS)
@@ -134,94 +133,85 @@ def linked(n_a: Column, n_b: Column, both: Column, percent: int) -> Column:
     return 100 * both >= percent * (n_a + n_b - both)
 
 
-def compare_blocks(percent: int):
-    """For two blocks of documents, the links that join them up: signatures first, full sets where they allow, none inside a part already joined."""
-    most = farthest(percent)
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, side = pdf["id"].to_numpy(), pdf["side"].to_numpy()
-        order = np.lexsort((ids, side))
-        ids, side = ids[order], side[order]
-        # in the order in which they were sorted
-        sets = [pdf["set"].iloc[i].view(U) for i in order]
-        sizes = np.array([len(s) for s in sets])
-        lanes = np.stack([pdf[c].to_numpy()[order] for c in CHUNK_COLUMNS], axis=1).view(np.uint16).reshape(len(ids), SYMBOLS)
-        parent = list(range(len(ids)))
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        first = np.flatnonzero(side == 0)
-        second = np.flatnonzero(side == 1) if (side == 1).any() else first
-        out = []
-        for i in first:
-            others = second[second > i]
-            if not len(others):
-                continue
-            near = others[(lanes[others] != lanes[i]).sum(axis=1) <= most]
-            near = near[100 * np.minimum(sizes[near], sizes[i]) >= percent * np.maximum(sizes[near], sizes[i])]
-            mine = root(i)
-            near = [j for j in near.tolist() if root(j) != mine]
-            if not near:
-                continue
-            flat, starts = np.concatenate([sets[j] for j in near]), np.cumsum([0] + [len(sets[j]) for j in near[:-1]])
-            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
-            common = np.add.reduceat((sets[i][at] == flat).astype(np.int64), starts)
-            for j, both in zip(near, common.tolist(), strict=True):
-                if 100 * both >= percent * (sizes[i] + sizes[j] - both) and root(j) != root(i):
-                    parent[root(j)] = root(i)
-                    out.append((ids[i], ids[j]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return run
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` whose full sets are linked, with ``apart``, one less their similarity.
+
+    A document of very many pairs has its set sent to as many places as PLACE pairs each
+    need, so that no task has more of them.
+    """
+    many = stash(pairs.groupBy("a").agg(F.ceil(F.count("*") / PLACE).cast("int").alias("places")), "near-places")
+    dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "places").cast("int").alias("place"))
+    one = sets.join(many, F.col("id") == F.col("a")).select("a", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("set").alias("x"))
+    two = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
+    # merged at every size: sets are never broadcast
+    both = dealt.join(two.hint("merge"), "b").join(one.hint("merge"), ["a", "place"])
+    both = both.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("both"))
+    return both.select("a", "b", linked(F.col("n"), F.col("m"), F.col("both"), percent).alias("link"), (1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("apart"))
+
+
+def alike(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and signatures of two documents allow a link."""
+    large, small = F.greatest(f"{x}.n_shingles", f"{y}.n_shingles"), F.least(f"{x}.n_shingles", f"{y}.n_shingles")
+    return (100 * small >= percent * large) & (distance(x, y) <= farthest(percent))
+
+
+def left_over(members: DataFrame, joined: DataFrame, apart: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a key, are in different components of ``joined(node, component)`` and may be linked.
+
+    Under each key the documents outside its largest component meet all others of the
+    key; where one component holds a key there is nothing to do. Both sides are cut into
+    blocks of BLOCK that meet once each. ``apart(a, b, apart)`` has the distances to the
+    keys' leaders: by the triangle inequality a pair whose distances differ by more than
+    links allow is none.
+    """
+    state = members.join(joined, F.col("id") == F.col("node"), "left").select("key", "id", "leader", F.coalesce("component", "id").alias("c"))
+    sizes = state.groupBy("key", "c").agg(F.count("*").alias("n"))
+    keys = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).filter("parts > 1")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    keys = stash(keys.select("key", F.col("most.c").alias("major"), blocks(F.col("n")).alias("wide"), blocks(F.col("n") - F.col("most.n")).alias("high")), "near-mixed")
+    state = state.join(keys, "key").join(apart.select(F.col("a").alias("leader"), F.col("b").alias("id"), "apart"), ["leader", "id"], "left")
+    state = state.join(sig, "id").select("key", "id", "c", "s", "major", "wide", "high", F.when(F.col("id") == F.col("leader"), 0.0).otherwise(F.col("apart")).alias("d"))
+    state = stash(state, "near-state")
+    own = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    minor = state.filter("c <> major").select("key", F.struct("id", "c", "d", "s.*").alias("x"), own(F.col("high")).alias("i"), every(F.col("wide")).alias("j"))
+    whole = state.select("key", F.struct("id", "c", "d", "s.*").alias("y"), (F.col("c") == F.col("major")).alias("in_major"), own(F.col("wide")).alias("j"), every(F.col("high")).alias("i"))
+    met = minor.join(whole, ["key", "i", "j"]).filter("x.c <> y.c AND (in_major OR x.id < y.id)")
+    near = F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= 1 - percent / 100 + 1e-9, F.lit(True))
+    met = met.filter(near).filter(alike("x", "y", percent))
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def links(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) that connect what is linked among ``reps(id, n_shingles, c0..c7)``, one for each distinct set; ``docs(id, text)`` has their texts.
+    """(node, component) of what is linked among ``reps(id, n_shingles, c0..c7)``, one for each distinct set; ``docs(id, text)`` has their texts.
 
-    Keys that few documents share pair them directly. Documents under a key that many
-    share go to blocks of about BLOCK, formed by the largest key of each; two blocks
-    are compared once if any key is common to them, in one task of bounded size.
+    Each key has a leader, its smallest id, and its documents are first compared with
+    that alone: work linear in the documents of a key, after which a group of near copies
+    hangs together, mostly by several of its keys' leaders. Only documents under a key
+    that are still apart are then compared with each other (left_over), so that no link
+    between components is lost; links within one would add nothing.
     """
     keys = stash(reps.select("id", F.explode(index_keys()).alias("key")), "near-keys")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).filter("n > 1").drop("n")
     members = stash(keys.join(shared, "key"), "near-members")
     delete(keys)
-
-    few = members.filter(F.col("n") <= SMALL)
-    left, right = few.select("key", F.col("id").alias("a")), few.select("key", F.col("id").alias("b"))
-    pairs = left.join(right, "key").filter("a < b").select("a", "b").distinct()
-    sig = reps.select("id", F.struct(*CHUNK_COLUMNS, "n_shingles").alias("s"))
-    pairs = pairs.join(sig.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sig.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-    large, small = F.greatest("x.n_shingles", "y.n_shingles"), F.least("x.n_shingles", "y.n_shingles")
-    pairs = stash(pairs.filter(100 * small >= percent * large).filter(distance("x", "y") <= farthest(percent)).select("a", "b"), "near-pairs")
-
-    hot = members.filter(F.col("n") > SMALL)
-    home = hot.groupBy("id").agg(F.max(F.struct("n", "key")).alias("h"))
-    parts = F.ceil(F.col("h.n") / BLOCK)
-    home = home.select("id", F.xxhash64(F.col("h.key"), F.pmod(F.xxhash64("id"), parts)).alias("block"))
-    home = stash(home, "near-home")
-    met = stash(hot.select("key", "id").join(home, "id").select("key", "block").distinct(), "near-met")
-    meet = met.join(met.withColumnRenamed("block", "other"), "key").filter("block <= other").select("block", "other").distinct()
-    meet = stash(meet, "near-meet")
-
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(home.select("id")).distinct()
-    # merged at every size, so that texts are dealt by id once, for the join and for repeated rows alike
+    # texts are dealt by id once, for the join and for repeated rows alike
+    wanted = members.select("id").distinct()
     texts = docs.join(wanted.hint("merge"), "id", "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["id", "h"])
     sets = stash(shingles(texts, size, "id"), "near-sets")
-    one, two = (sets.select(F.col("id").alias(x), F.col("set").alias(f"s{x}")).hint("merge") for x in "ab")
-    both = F.size(F.array_intersect("sa", "sb"))
-    near = pairs.join(one, "a").join(two, "b").filter(linked(F.size("sa"), F.size("sb"), both, percent)).select("a", "b")
+    sig = reps.select("id", F.struct(*CHUNK_COLUMNS, "n_shingles").alias("s"))
 
-    facts = home.join(sets, "id").join(reps.select("id", *CHUNK_COLUMNS), "id")
-    first = meet.join(facts, "block").select("block", "other", F.lit(0).alias("side"), "id", "set", *CHUNK_COLUMNS)
-    facts = facts.withColumnRenamed("block", "other")
-    second = meet.filter("block <> other").join(facts, "other").select("block", "other", F.lit(1).alias("side"), "id", "set", *CHUNK_COLUMNS)
-    far = first.union(second).groupBy("block", "other").applyInPandas(compare_blocks(percent), "a long, b long")
-    return stash(near.union(far), "near-links")
+    star = members.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    star = star.join(sig.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sig.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
+    star = stash(star.filter(alike("x", "y", percent)).select("a", "b"), "near-star")
+    apart = stash(confirmed(star, sets, percent), "near-apart")
+    first = components(apart.filter("link").select("a", "b"))
+    rest = stash(left_over(members, first, apart, sig, percent), "near-rest")
+    more = stash(confirmed(rest, sets, percent).filter("link").select("a", "b"), "near-more")
+    joined = first if more.isEmpty() else components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    for table in (members, sets, star, apart, rest, more):
+        delete(table)
+    return joined
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -243,7 +233,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     # equal sets are one class, named by its smallest doc_id; only its representative is compared
     reps = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in CHUNK_COLUMNS])
     reps = stash(reps, "near-reps")
-    joined = components(links(reps.drop("h1", "h2"), slim.withColumnRenamed("doc_id", "id"), size, percent))
+    joined = links(reps.drop("h1", "h2"), slim.withColumnRenamed("doc_id", "id"), size, percent)
     classes = reps.select(*same, "id").join(joined, F.col("id") == F.col("node"), "left").select(*same, F.coalesce("component", "id").alias("component_id"))
     out = sketches.select("doc_id", *same).join(classes, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).cast("long")
