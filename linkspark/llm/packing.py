@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -89,98 +90,105 @@ def tokenizer(path: str) -> WordTokenizer:
 class HarmonicBins:
     """Open bins of one worker.
 
-    Classes are the reciprocals capacity/1, /2, /4, ... down to ``least``: a bin of
-    class capacity/j takes exactly j pieces and is full to the last token. Pieces
-    shorter than ``least`` form the last class, whose bins are filled next-fit.
+    Class k takes documents of capacity/(k + 1) to capacity/k tokens, k to a bin, whole:
+    any k of them fit. What a bin of k has left, under capacity/(k + 1), is its gap. A
+    document fills the smallest gap that holds it whole; only where ``waiting`` bins have
+    gaps is the next document cut, into the smallest of them first. Of documents longer
+    than the capacity, full sequences are cut off first. Documents shorter than
+    capacity/``classes`` are one class, whose bins close when the next doesn't fit.
     """
 
-    def __init__(self, capacity: int, least: int, first_id: int):
-        self.capacity, self.least, self.next_id = capacity, least, first_id
+    def __init__(self, capacity: int, classes: int, waiting: int, first_id: int):
+        self.capacity, self.classes, self.waiting, self.next_id = capacity, classes, waiting, first_id
         self.open: dict[int, list[tuple]] = {}
-        self.tail: list[tuple] = []
-        self.tail_size = 0
-
-    def cut(self, n: int) -> Iterator[int]:
-        """Lengths of the pieces of a document of n tokens: class lengths, longest first, then a short rest."""
-        size = self.capacity
-        while n >= self.least and size >= self.least:
-            while n >= size:
-                yield size
-                n -= size
-            size //= 2
-        if n:
-            yield n
+        #: Bins with gaps, smallest gap first: (gap, number, pieces). The number breaks ties by age.
+        self.gaps: list[tuple[int, int, list[tuple]]] = []
+        self.made = 0
 
     def place(self, pieces: list[tuple]) -> Iterator[tuple]:
         """A closed sequence: each piece with its sequence and offset."""
         offset = 0
         for doc, start, ids, total in pieces:
-            yield doc, start, len(ids), zlib.crc32(ids.tobytes()), total, self.next_id, offset
+            yield doc, start, len(ids), zlib.crc32(ids), total, self.next_id, offset
             offset += len(ids)
         self.next_id += 1
 
+    def shelve(self, gap: int, pieces: list[tuple]) -> Iterator[tuple]:
+        if gap:
+            self.made += 1
+            insort(self.gaps, (gap, self.made, pieces))
+        else:
+            yield from self.place(pieces)
+
     def add(self, doc: int, ids: np.ndarray) -> Iterator[tuple]:
-        start, total = 0, len(ids)
-        for n in self.cut(total):
-            piece = (doc, start, ids[start : start + n], total)
-            start += n
-            if n >= self.least:
-                pieces = self.open.setdefault(n, [])
-                pieces.append(piece)
-                if len(pieces) * n == self.capacity:
-                    yield from self.place(self.open.pop(n))
-            else:
-                if self.tail_size + n > self.capacity:
-                    yield from self.place(self.tail)
-                    self.tail, self.tail_size = [], 0
-                self.tail.append(piece)
-                self.tail_size += n
+        start, total, capacity = 0, len(ids), self.capacity
+        while total - start >= capacity:
+            yield from self.place([(doc, start, ids[start : start + capacity], total)])
+            start += capacity
+        while start < total:
+            n = total - start
+            at = bisect_left(self.gaps, (n,))
+            if at < len(self.gaps) or len(self.gaps) >= self.waiting:
+                # whole into the smallest gap that holds it, or cut into the smallest of many
+                gap, _, pieces = self.gaps.pop(at if at < len(self.gaps) else 0)
+                n = min(n, gap)
+                pieces.append((doc, start, ids[start : start + n], total))
+                start += n
+                yield from self.shelve(gap - n, pieces)
+                continue
+            k = min(capacity // n, self.classes)
+            pieces = self.open.setdefault(k, [])
+            used = sum(len(p[2]) for p in pieces)
+            if used + n > capacity:
+                yield from self.shelve(capacity - used, pieces)
+                pieces, used = [], 0
+                self.open[k] = pieces
+            pieces.append((doc, start, ids[start:], total))
+            start = total
+            if k < self.classes and len(pieces) == k or used + n == capacity:
+                yield from self.shelve(capacity - used - n, self.open.pop(k))
 
     def close(self) -> Iterator[tuple]:
-        """Partly filled bins, split into sequences whose lengths are powers of two, which need no padding."""
-        for n in sorted(self.open):
-            pieces = self.open[n]
-            while pieces:
-                k = 1 << (len(pieces).bit_length() - 1)
-                yield from self.place(pieces[:k])
-                pieces = pieces[k:]
-        rest = self.tail
-        while rest:
-            room = 1 << (sum(len(p[2]) for p in rest).bit_length() - 1)
+        """What is open in the end: full sequences, then such whose lengths are powers of two, which need no padding."""
+        left = [p for _, _, pieces in self.gaps for p in pieces] + [p for k in sorted(self.open) for p in self.open[k]]
+        rest = sum(len(p[2]) for p in left)
+        left.reverse()
+        while left:
+            room = self.capacity if rest >= self.capacity else 1 << (rest.bit_length() - 1)
+            rest -= room
             now = []
             while room:
-                doc, start, ids, total = rest.pop(0)
+                doc, start, ids, total = left.pop()
                 now.append((doc, start, ids[:room], total))
                 if len(ids) > room:
-                    rest.insert(0, (doc, start + room, ids[room:], total))
-                    room = 0
-                else:
-                    room -= len(ids)
+                    left.append((doc, start + room, ids[room:], total))
+                room -= len(now[-1][2])
             yield from self.place(now)
 
 
-def pack(docs: DataFrame, path: str, capacity: int = 2048, least: int = 64, end: int = 1) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = 2048, classes: int = 64, waiting: int = 64, end: int = 1) -> DataFrame:
     """Packs every document of ``docs(doc_id, text)`` into sequences of at most ``capacity`` tokens.
 
     One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset``. Each worker fills bins of its own while it reads, so nothing is
-    shuffled and its memory is bounded by one open bin a class. Ids of sequences
-    hold the partition's number and are unique.
-
-    ``capacity`` and ``least`` are powers of two. A null or empty text has the end
-    token alone; a null doc_id stays null; repeated rows are packed as often as they
-    stand there; other columns are ignored; an empty table gives no rows. A text of
-    any length is cut into as many pieces as it needs.
+    shuffled and its memory is bounded: a bin a class, and ``waiting`` more. All sequences
+    are full, but for a few at a worker's end whose lengths are powers of two. Ids of
+    sequences hold the partition's number and are unique.
+
+    ``capacity`` is a power of two. A null or empty text has the end token alone; a null
+    doc_id stays null; repeated rows are packed as often as they stand there; other
+    columns are ignored; an empty table gives no rows. A text of any length is cut into as
+    many pieces as it needs.
     """
-    if capacity & (capacity - 1) or least & (least - 1) or not 0 < least <= capacity:
-        raise ValueError("capacity and least are powers of two, least the smaller")
+    if capacity < 1 or capacity & (capacity - 1) or classes < 1 or waiting < 1:
+        raise ValueError("capacity is a power of two, classes and waiting are 1 or more")
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encoder = tokenizer(path)
-        bins = HarmonicBins(capacity, least, TaskContext.get().partitionId() << 40)
+        bins = HarmonicBins(capacity, classes, waiting, TaskContext.get().partitionId() << 40)
         rows: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
