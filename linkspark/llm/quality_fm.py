@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkernel import U, Words, pieces
+from .textkernel import U, Words, list_array, pieces
 
 #: Buckets for hashed words, structure features, and rank of the interactions.
 BUCKETS, RANK = 4096, 8
@@ -101,19 +102,21 @@ def score(model: Model, ends: np.ndarray, buckets: np.ndarray, values: np.ndarra
     return out
 
 
-def fit(rows: list[tuple[bytes, int | None, int]], epochs: int = 6, rate: float = 0.02, decay: float = 1e-4, batch: int = 256, seed: int = 1) -> Model:
-    """Fits by Adam on the logistic loss. Without rows, or with one label alone, the score is the labels' share, smoothed."""
-    y = np.array([r[2] for r in rows], dtype=np.float64)
+def concatenated(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The features of several runs of texts as those of one."""
+    sizes = np.concatenate([np.diff(np.concatenate([[0], p[0]])) for p in parts])
+    return (np.cumsum(sizes), *(np.concatenate([p[i] for p in parts]) for i in (1, 2, 3)))
+
+
+def fit(found: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None, y: np.ndarray, epochs: int = 6, rate: float = 0.02, decay: float = 1e-4, batch: int = 256, seed: int = 1) -> Model:
+    """Fits features(), with labels ``y``, by Adam on the logistic loss. Without rows, or with one label alone, the score is the labels' share, smoothed."""
     share = (y.sum() + 1) / (len(y) + 2)
     bias = float(np.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
     if not len(y) or y.min() == y.max():
         return Model(bias, np.zeros(DIMS), np.zeros((DIMS, RANK)), np.zeros(STATS), np.ones(STATS))
-    parts = [features([r[0] for r in rows[i : i + 512]], [r[1] for r in rows[i : i + 512]]) for i in range(0, len(rows), 512)]
-    stats = np.concatenate([p[3] for p in parts])
-    sizes = np.concatenate([np.diff(np.concatenate([[0], p[0]])) for p in parts])
-    begins = np.concatenate([[0], np.cumsum(sizes)])
-    buckets, values = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+    ends, buckets, values, stats = found
+    begins = np.concatenate([[0], ends])
     mean, scale = stats.mean(axis=0), np.maximum(stats.std(axis=0), 1e-3)
     d = dense(stats, mean, scale)
     w, v = np.zeros(DIMS, dtype=np.float32), rng.normal(0, 0.05, (DIMS, RANK)).astype(np.float32)
@@ -154,8 +157,9 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", cut: fl
     """Scores every row of ``docs(doc_id, text, n_chars)``: doc_id, held_out, score, predicted.
 
     The model is fitted on at most ``rows`` labelled documents, those first by a hash of
-    doc_id among the ones not held out; it sees words, structure and n_chars, never
-    doc_id, lang or source. A doc_id with several labels counts with their mean, rounded.
+    doc_id among the ones not held out, and of a repeated doc_id one row; it sees words,
+    structure and n_chars, never doc_id, lang or source. A doc_id with several labels
+    counts with their mean, rounded.
     The model (some hundred KB, of fixed size) goes to the workers, which score whole
     texts in runs of bounded size.
 
@@ -167,23 +171,37 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", cut: fl
     chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), chars.alias("n_chars"))
     marks = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.round(F.avg(label)).cast("int").alias("y"))
-    chosen = marks.filter(~held_out(F.col("doc_id"))).join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    known = base.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max(F.struct("text", "n_chars")).alias("t"), F.first("y").alias("y"))
+    # only labelled rows are looked up, so the documents are not shuffled: they are probed with the labels' ids
+    chosen = marks.filter(~held_out(F.col("doc_id")))
+    ids = base.select("doc_id").join(chosen, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    known = base.join(F.broadcast(ids), "doc_id")
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = batch.column(2).to_pylist()
+            for at, texts in pieces(batch):
+                ends, buckets, values, stats = features(texts, lengths[at : at + len(texts)])
+                sizes = np.diff(np.concatenate([[0], ends]))
+                mine = [batch.column(i).slice(at, len(texts)) for i in (0, 3)]
+                rank = pa.array([zlib.crc32(t) for t in texts], pa.int64())
+                yield pa.RecordBatch.from_arrays([*mine, rank, list_array(buckets.astype(np.int16), sizes, pa.int16()), list_array(values, sizes, pa.float32()), list_array(stats.ravel(), np.full(len(texts), STATS), pa.float64())], names=["doc_id", "y", "rank", "buckets", "values", "stats"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = []
+        parts, y = [], []
         for batch in batches:
-            data += [((t or "").encode("utf-8", "replace"), n, y) for t, n, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        m = fit(data)
-        flat = np.concatenate([[m.bias], m.weights, m.factors.ravel(), m.mean, m.scale])
-        yield pa.RecordBatch.from_arrays([pa.array([flat.tolist()], pa.list_(pa.float64()))], names=["model"])
-
-    # one task fits on the bounded sample
-    ordered = known.select("t.text", "t.n_chars", "y", "doc_id").repartition(1).sortWithinPartitions("doc_id").select("text", "n_chars", "y")
-    learned = ordered.mapInArrow(learn, "model array<double>").first()
+            cells, stats = batch.column(0), batch.column(2).flatten().to_numpy().reshape(-1, STATS)
+            parts.append((np.cumsum(cells.value_lengths().to_numpy()), cells.flatten().to_numpy().astype(np.int32), batch.column(1).flatten().to_numpy(), stats))
+            y.append(batch.column(3).to_numpy())
+        m = fit(concatenated(parts) if parts else None, np.concatenate([*y, np.zeros(0)]).astype(np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array([flattened(m)], pa.list_(pa.float64()))], names=["model"])
+
+    # features are made where the texts are; one task fits on those of the bounded sample, at most BUCKETS cells a row
+    made = known.select("doc_id", "text", "n_chars", "y").mapInArrow(extract, "doc_id long, y int, rank long, buckets array<short>, values array<float>, stats array<double>")
+    once = made.groupBy("doc_id").agg(F.min(F.struct("rank", "buckets", "values", "stats", "y")).alias("f"))
+    sample = once.repartition(1).sortWithinPartitions("doc_id").select("f.buckets", "f.values", "f.stats", "f.y")
+    learned = sample.mapInArrow(learn, "model array<double>").first()
     # without labelled rows there may be no task
-    flat = np.array(learned[0] if learned else flattened(fit([])))
+    flat = np.array(learned[0] if learned else flattened(fit(None, np.zeros(0))))
     cuts = np.cumsum([1, DIMS, DIMS * RANK, STATS])
     bias, weights, factors, mean, scale = np.split(flat, cuts)
     model = docs.sparkSession.sparkContext.broadcast(Model(float(bias[0]), weights, factors.reshape(DIMS, RANK), mean, scale))
