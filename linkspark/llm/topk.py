@@ -2,105 +2,151 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block of candidates and of a block of queries; a task holds one of each.
-ROWS, QUERIES = 8192, 512
+#: Rows of a block of candidates, sorted once and held by one task, and queries that it answers at a time.
+ROWS, QUERIES = 8192, 256
 #: Entries read from each list in the first round; each round reads as many again as all before.
 DEPTH = 32
-#: Below every score; whole numbers are exact in doubles up to its size.
-LEAST = -(2**53)
+NAMES = ["query_id", "vec_id", "score"]
 SCHEMA = "query_id long, vec_id long, score long"
 
 
-def threshold_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[list[tuple], int]:
-    """The k best of ``rows`` for each query by the threshold algorithm: (query, id, score), and how many rows were scored.
+class Block:
+    """Candidates with a list a dimension of them in the order of that component, sorted once for all queries."""
 
-    Lists hold the rows sorted by one component each. The queries of a block read them
-    in step, each list from the end where a query's weight has the largest products; a
-    round reads on from both ends and scores the rows seen for the first time, one
-    product of matrices for all queries that still read. No unseen row can exceed the
-    sum of a query's products at the ends of reading: a query stops once its kth score
-    is above that sum (with an equal score an unseen row could still win by its id).
-    """
-    n = len(rows)
-    lists = np.argsort(rows, axis=0, kind="stable")
-    values = np.take_along_axis(rows, lists, axis=0)
-    out, depth = [], 0
-    active, seen, scored = np.arange(len(queries)), np.zeros(n, dtype=bool), 0
-    scores = np.full((len(queries), n), LEAST, dtype=rows.dtype)
-    while len(active):
-        new = min(n, max(DEPTH, 2 * depth))
-        fresh = np.zeros(n, dtype=bool)
-        fresh[lists[depth:new].ravel()] = True
-        fresh[lists[n - new : n - depth].ravel()] = True
-        fresh = np.flatnonzero(fresh & ~seen)
-        seen[fresh] = True
-        scored += len(fresh) * len(active)
-        q = queries[active]
-        scores[np.ix_(active, fresh)] = q @ rows[fresh].T
-        depth = new
-        bound = (np.where(q < 0, q * values[depth - 1], q * values[n - depth])).sum(axis=1)
-        valid = scores[active]
-        own = np.searchsorted(ids, query_ids[active]), np.searchsorted(ids, query_ids[active], side="right")
-        for i in np.flatnonzero(own[0] < own[1]):
-            valid[i, own[0][i] : own[1][i]] = LEAST
-        kth = np.partition(valid, n - k, axis=1)[:, n - k] if n > k else np.full(len(active), LEAST, dtype=rows.dtype)
-        ready = (kth > bound) | (depth >= n)
-        for i in np.flatnonzero(ready):
-            best = np.flatnonzero((valid[i] >= kth[i]) & (valid[i] > LEAST))
-            best = best[np.lexsort((ids[best], -valid[i][best]))][:k]
-            out += zip([query_ids[active[i]]] * len(best), ids[best].tolist(), valid[i][best].astype(np.int64).tolist(), strict=True)
-        active = active[~ready]
-    return out, scored
-
-
-def _search(k: int):
-    def run(key, left, right):
-        if not len(left) or not len(right):
-            return pd.DataFrame([], columns=["query_id", "vec_id", "score"], dtype="int64")
-        queries, rows = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
-        if float(np.abs(queries).max()) * float(np.abs(rows).max()) * rows.shape[1] < 2**53:
-            queries, rows = queries.astype(np.float64), rows.astype(np.float64)
-        order = np.argsort(right["id"].to_numpy(), kind="stable")
-        found, _ = threshold_top(queries, left["id"].to_numpy(), rows[order], right["id"].to_numpy()[order], k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"], dtype="int64")
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        order = np.argsort(ids, kind="stable")
+        self.rows, self.ids = rows[order], ids[order]
+        self.lists = np.argsort(self.rows, axis=0, kind="stable").astype(np.int32)
+        self.values = np.take_along_axis(self.rows, self.lists, axis=0)
+        self.largest = int(np.abs(self.rows).max(initial=0))
+        self.exact = self.rows.astype(np.float64)
+
+    def top(self, queries: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[list[tuple], int]:
+        """The k best candidates of each query by the threshold algorithm: (query, id, score), and how many scores were computed.
+
+        The queries read the lists in step, each list from the end where a query's weight
+        has the largest products; a round reads on from both ends and scores the rows seen
+        for the first time, one product of matrices for all queries that still read. No
+        unseen row can exceed the sum of a query's products at the ends of reading: a query
+        stops once its kth score is above that sum (with an equal score an unseen row could
+        still win by its id).
+
+        Products are taken in doubles where every sum is below 2**53, else in 64-bit
+        integers; sums beyond those raise an error.
+        """
+        n, dims = self.rows.shape
+        reach = int(np.abs(queries).max(initial=0)) * self.largest * max(dims, 1)
+        if reach >= 2**63:
+            raise OverflowError("scores of these vectors don't fit into 64 bits")
+        kind = np.float64 if reach < 2**53 else np.int64
+        rows, values, queries = (self.exact if kind is np.float64 else self.rows), self.values.astype(kind), queries.astype(kind)
+        out, depth, scored = [], 0, 0
+        active, seen = np.arange(len(queries)), np.zeros(n, dtype=bool)
+        # below every score, which is over -2**53 in doubles and over -2**63 in integers
+        least = -np.inf if kind is np.float64 else np.iinfo(np.int64).min
+        scores = np.full((len(queries), n), least, dtype=kind)
+        while len(active):
+            new = min(n, max(DEPTH, 2 * depth))
+            fresh = np.zeros(n, dtype=bool)
+            fresh[self.lists[depth:new].ravel()] = True
+            fresh[self.lists[n - new : n - depth].ravel()] = True
+            if not dims:
+                fresh[:], new = True, n
+            fresh = np.flatnonzero(fresh & ~seen)
+            seen[fresh] = True
+            scored += len(fresh) * len(active)
+            q = queries[active]
+            scores[np.ix_(active, fresh)] = q @ rows[fresh].T
+            depth = new
+            bound = (np.where(q < 0, q * values[depth - 1], q * values[n - depth])).sum(axis=1)
+            valid = scores[active]
+            own = np.searchsorted(self.ids, query_ids[active]), np.searchsorted(self.ids, query_ids[active], side="right")
+            for i in np.flatnonzero(own[0] < own[1]):
+                valid[i, own[0][i] : own[1][i]] = least
+            kth = np.partition(valid, n - k, axis=1)[:, n - k] if n > k else np.full(len(active), least, dtype=kind)
+            ready = (kth > bound) | (depth >= n)
+            for i in np.flatnonzero(ready):
+                best = np.flatnonzero((valid[i] >= kth[i]) & (valid[i] > least))
+                best = best[np.lexsort((self.ids[best], -valid[i][best]))][:k]
+                out += zip([int(query_ids[active[i]])] * len(best), self.ids[best].tolist(), valid[i][best].astype(np.int64).tolist(), strict=True)
+            active = active[~ready]
+        return out, scored
+
+
+def _vectors(batch: pa.RecordBatch, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, vectors) of a batch."""
+    return batch.column(2).to_numpy(), batch.column(3).flatten().to_numpy().reshape(batch.num_rows, dims)
+
+
+def _search(k: int, queries_at_once: int):
+    """Reads, sorted by (dims, block, is_query), blocks of candidates and then the queries that they meet: a task holds one block and some queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, block = None, [], None
+        for whole in batches:
+            dims, blocks, query = (whole.column(i).to_numpy() for i in (0, 1, 4))
+            marks = np.flatnonzero((np.diff(dims) != 0) | (np.diff(blocks) != 0) | (np.diff(query) != 0)) + 1
+            for lo, hi in zip([0, *marks.tolist()], [*marks.tolist(), whole.num_rows], strict=True):
+                if hi == lo:
+                    continue
+                key, part = (int(dims[lo]), int(blocks[lo])), whole.slice(lo, hi - lo)
+                if key != at:
+                    at, held, block = key, [], None
+                if not query[lo]:
+                    held.append(_vectors(part, key[0]))
+                    continue
+                if block is None and held:
+                    block = Block(np.concatenate([h[1] for h in held]), np.concatenate([h[0] for h in held]))
+                    held = []
+                for i in range(0, part.num_rows, queries_at_once) if block else ():
+                    ids, vectors = _vectors(part.slice(i, queries_at_once), key[0])
+                    found, _ = block.top(vectors, ids, k)
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=NAMES)
 
     return run
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """(id, v): floor(scale x) of each component; vectors null, empty or with null or non-finite components are left out, as is a null id."""
+    """(dims, id, v): floor(scale x) of each component; vectors null or with null or non-finite components are left out, as is a null id."""
     v = F.col("embedding").cast("array<double>")
     ok = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    good = vectors.select(F.col("vec_id").cast("long").alias("id"), v.alias("embedding")).filter("id IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0").filter(ok.alias("ok"))
-    return good.select("id", F.transform("embedding", lambda x: F.floor(x * scale)).alias("v"), F.size("embedding").alias("dims"))
+    good = vectors.select(F.col("vec_id").cast("long").alias("id"), v.alias("embedding")).filter("id IS NOT NULL AND embedding IS NOT NULL").filter(ok.alias("ok"))
+    # components beyond 64 bits are no integers there: they stop the query, rather than wrap
+    floor = lambda x: F.when(F.abs(x * scale) < float(2**62), F.floor(x * scale)).otherwise(F.raise_error(F.lit("a component is beyond 64 bits")).cast("long"))
+    return good.select(F.size("embedding").alias("dims"), "id", F.transform("embedding", floor).alias("v"))
 
 
-def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, rows: int = ROWS) -> DataFrame:
     """For each row of ``vectors(vec_id, embedding)`` whose vec_id is divisible by ``every``: query_id, rank, vec_id, score of the k best others.
 
     Scores are inner products of the components floor(scale x); ties go to the smaller
-    vec_id. Queries and candidates meet in blocks, one pair of blocks a task; only the k
-    best of each block go on, and the best of those are the answer.
+    vec_id. Candidates are dealt to blocks of about ``rows``, each to one place and
+    sorted once, and all queries stream past each block; only the k best of each block
+    go on, and the best of those are the answer.
 
-    Scores are exact while their size is below 2**53 - 1. Vectors that are null, empty or hold null or non-finite components take no part,
-    nor do rows without vec_id. Vectors meet those of the same length only. Rows that
-    repeat a query's vec_id are its own and no candidates; repeated candidates each
-    count, and repeated queries are one. An empty table gives no rows. Other columns are ignored.
+    Scores are exact; where they or a component could exceed 64 bits the query stops with
+    an error. Vectors that are null or hold null or non-finite components take no part, nor
+    do rows without vec_id. Vectors meet those of the same length only; empty ones all
+    score 0. Rows that repeat a query's vec_id are its own and no candidates; repeated
+    candidates each count, and repeated queries are one. An empty table gives no rows.
+    Other columns are ignored.
     """
-    rows = quantised(vectors, scale)
-    counts = rows.agg(F.count("*"), F.count(F.when(F.col("id") % every == 0, 1))).first()
-    row_blocks, query_blocks = max(1, -(-counts[0] // ROWS)), max(1, -(-counts[1] // QUERIES))
-    block = lambda n: F.pmod(F.xxhash64("id", F.lit(7)), F.lit(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    one = rows.filter(F.col("id") % every == 0).groupBy("id", "dims").agg(F.first("v").alias("v"))
-    left = one.select("dims", "id", "v", block(query_blocks).alias("q"), each(row_blocks).alias("r")).groupBy("dims", "q", "r")
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(row_blocks)).cast("int")
-    right = rows.select("dims", "id", "v", spread.alias("r"), each(query_blocks).alias("q")).groupBy("dims", "q", "r")
-    found = left.cogroup(right).applyInPandas(_search(k), SCHEMA)
+    valid = quantised(vectors, scale)
+    blocks = max(1, -(-valid.count() // rows))
+    # dealt in turn, so that blocks are even whatever the ids are
+    candidates = valid.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int")).withColumn("query", F.lit(0))
+    queries = valid.filter(F.col("id") % every == 0).groupBy("dims", "id").agg(F.first("v").alias("v"))
+    queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("query", F.lit(1))
+    columns = ["dims", "block", "id", "v", "query"]
+    both = candidates.select(*columns).unionByName(queries.select(*columns)).repartition(blocks, "dims", "block").sortWithinPartitions("dims", "block", "query")
+    found = both.mapInArrow(_search(k, QUERIES), SCHEMA)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
