@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Pre-tokens that one worker remembers, in each of two generations.
 CACHE_WORDS = 400_000
+#: Ranks by which the most frequent pieces lie above what a pure power law gives.
+OFFSET = 200.0
 #: What stands for the space before each word.
 MARK = "▁"
 
@@ -68,6 +71,16 @@ class Unigram:
         return out
 
 
+def zipf(ranks: dict[str, float], offset: float = OFFSET) -> dict[str, float]:
+    """Log frequencies, up to a constant, of pieces by their ranks: -ln(rank + offset), the law of Zipf and Mandelbrot.
+
+    ``ranks`` are a merge table's, 0 the first merge and lower the later ones; single
+    characters, which it lists after all merges, are ranked among themselves.
+    """
+    merges = max((-r for p, r in ranks.items() if len(p) > 1), default=0.0)
+    return {p: -log(-r + offset if len(p) > 1 else max(-r - merges, 0.0) + offset) for p, r in ranks.items()}
+
+
 @lru_cache(1)
 def model(path: str) -> Unigram:
     import sentencepiece
@@ -75,7 +88,7 @@ def model(path: str) -> Unigram:
     p = sentencepiece.SentencePieceProcessor(model_file=path)
     # scores of -1e9 mark runs of spaces, which no word holds
     plain = [i for i in range(p.get_piece_size()) if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i)) and p.get_score(i) > -1e8]
-    return Unigram({p.id_to_piece(i): p.get_score(i) for i in plain})
+    return Unigram(zipf({p.id_to_piece(i): p.get_score(i) for i in plain}))
 
 
 class Counter:
@@ -128,8 +141,10 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
     A pre-token is a word of the whole text (ASCII white space separates) after the
     space mark. Each worker collects the distinct pre-tokens of a run of texts, scores
     the new ones on their trie and sums up; nothing is shuffled, and what it remembers
-    is bounded. Scores are those of the sentencepiece model at ``path``, as a unigram
-    model's.
+    is bounded. The pieces are those of the sentencepiece model at ``path``, a merge table
+    without log probabilities; a unigram model needs such, and none is trained here, so
+    scores follow from the pieces' ranks (zipf()). Counts are of the best segmentation under
+    these scores, near those of the model's own merges but not equal to them.
 
     A null or empty text has none. Rows that repeat count each for themselves; a null
     doc_id stays null; an empty table gives no rows. Other columns are ignored.
