@@ -12,6 +12,9 @@ WEIGHTS = (5, 2, 1)
 #: Newton steps at most; each is safeguarded by a bracket, so this bounds the work and not the result.
 STEPS = 60
 BINS = 1024
+#: Single documents that change sides of a source's cut in the end.
+MOVES = 3
+MOVED = "array<struct<at:double,size:bigint>>"
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -97,10 +100,13 @@ def place(rate: Column, seed: int) -> Column:
 
 
 def cutoffs(sizes: DataFrame, state: DataFrame, most: float = 2.0, seed: int = 1) -> DataFrame:
-    """``state`` and, for each source, the place below which documents get one more copy, so that the words taken come nearest to the target.
+    """``state`` and, for each source, the place below which documents get one more copy, and documents ``moved`` over it.
 
-    A weighted quantile by three passes over histograms of BINS bins, each within the
-    bin before: no source is ever sorted or gathered in one task.
+    The place is a weighted quantile by three passes over histograms of BINS bins, each
+    within the bin before: no source is ever sorted or gathered in one task. What is left
+    to the target there is less than a bin of the last pass. Then MOVES times the one
+    document whose copy, more or less, brings the source nearest to its target changes
+    sides, if any brings it nearer.
     """
     rate = rates(F.col("size"), most)
     docs = sizes.withColumnsRenamed({"source": "_s"}).join(state, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
@@ -127,17 +133,31 @@ def cutoffs(sizes: DataFrame, state: DataFrame, most: float = 2.0, seed: int = 1
         )
         old, near = near, stash(new.drop("bin"), "mix-cut")
         delete(old)
-    last = docs.filter((F.col("copies") < most) & (F.col("size") > 0)).withColumnsRenamed({"source": "_s"}).join(near.select("source", "from", "wide"), F.col("source").eqNullSafe(F.col("_s")))
-    rest = last.filter(F.col("at") >= F.col("from")).filter(F.col("at") < F.col("from") + F.col("wide")).groupBy("_s").agg(F.sum("size").alias("mass"))
-    end = near.join(rest, F.col("source").eqNullSafe(F.col("_s")), "left")
-    more = F.coalesce(F.col("mass"), F.lit(0)) - F.col("need") < F.col("need")
-    return stash(end.select(*state.columns, F.when(more, F.col("from") + F.col("wide")).otherwise(F.col("from")).alias("cut")), "mix-cuts")
+    near = stash(near.select(*state.columns, F.col("from").alias("cut"), "need", F.array().cast(MOVED).alias("moved")), "mix-cuts")
+    for _ in range(MOVES):
+        rows = docs.filter((F.col("copies") < most) & (F.col("size") > 0)).withColumnsRenamed({"source": "_s"}).join(near.select("source", "cut", "need", "moved"), F.col("source").eqNullSafe(F.col("_s")))
+        change = F.when(chosen(F.col("at"), F.col("size")), -F.col("size")).otherwise(F.col("size"))
+        best = rows.select("_s", change.alias("change"), "need", "at", "size").groupBy("_s").agg(F.min(F.struct(F.abs(F.col("need") - F.col("change")).alias("off"), "at", "size", "change")).alias("b"))
+        new = near.join(best, F.col("source").eqNullSafe(F.col("_s")), "left")
+        better = F.coalesce(F.col("b.off") < F.abs("need"), F.lit(False))
+        one = F.array(F.struct(F.col("b.at").alias("at"), F.col("b.size").alias("size")))
+        moved = F.when(better, F.array_union(F.array_except("moved", one), F.array_except(one, "moved"))).otherwise(F.col("moved"))
+        old, near = near, stash(new.select(*state.columns, "cut", F.when(better, F.col("need") - F.col("b.change")).otherwise(F.col("need")).alias("need"), moved.alias("moved")), "mix-cuts")
+        delete(old)
+    return near.drop("need")
+
+
+def chosen(at: Column, size: Column) -> Column:
+    """Whether a document gets one more copy: it stands before its source's cut, or has been moved over it."""
+    before, moved = at < F.col("cut"), F.array_contains("moved", F.struct(at.alias("at"), size.alias("size")))
+    return before != moved
 
 
 def copies(size: Column, most: float, seed: int) -> Column:
+    """Copies of a document of a source with cutoffs()'s columns."""
     rate = rates(size, most)
     base = F.floor(rate)
-    return (base + ((base < most) & (place(rate, seed) < F.col("cut"))).cast("long")).cast("long")
+    return (base + ((base < most) & chosen(place(rate, seed), size)).cast("long")).cast("long")
 
 
 def _solve(sizes: DataFrame, most: float, seed: int, share: float) -> DataFrame:
