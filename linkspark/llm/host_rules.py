@@ -59,22 +59,24 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
     ).select(*keep, F.col("_w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_w.r").alias("n_repeat_words"))
 
 
-def host_verdicts(facts: DataFrame, limit: float = 0.5) -> DataFrame:
+def host_verdicts(facts: DataFrame, limit: float = 0.5, times: float = 2.0, deviations: float = 4.0) -> DataFrame:
     """One row a host of ``facts(host, failed)``: host, host_docs, host_failed, host_rate, host_ok.
 
     The rates' mean m and variance v over hosts give the beta prior by moments, with
     strength s = m(1 - m)/v - 1, at least 1 and at most a million (v is 0 where hosts
-    agree or only one exists). host_rate = (failed + s m)/(docs + s); a host is bad if
-    that is over ``limit``. A null host is a host of its own.
+    agree or only one exists). host_rate = (failed + s m)/(docs + s). A host is bad if
+    that is over ``limit``, or stands out of the prior: over ``times`` its mean and over
+    ``deviations`` of its standard deviations above it. A null host is a host of its own.
     """
     hosts = facts.groupBy("host").agg(F.count("*").alias("host_docs"), F.sum(F.col("failed").cast("long")).alias("host_failed"))
     rate = F.col("host_failed") / F.col("host_docs")
     prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"))
     strength = F.least(F.lit(1e6), F.greatest(F.lit(1.0), F.coalesce(F.try_divide(F.col("m") * (1 - F.col("m")), F.col("v")) - 1, F.lit(1e6))))
-    prior = prior.select("m", strength.alias("s"))
+    usual = F.greatest(times * F.col("m"), F.col("m") + deviations * F.sqrt("v"))
+    prior = prior.select("m", strength.alias("s"), F.least(F.lit(limit), F.coalesce(usual, F.lit(limit))).alias("most"))
     # the prior is one row
     shrunk = hosts.join(F.broadcast(prior), F.lit(True)).withColumn("host_rate", (F.col("host_failed") + F.col("s") * F.col("m")) / (F.col("host_docs") + F.col("s")))
-    return shrunk.select("host", "host_docs", "host_failed", "host_rate", (F.col("host_rate") <= limit).alias("host_ok"))
+    return shrunk.select("host", "host_docs", "host_failed", "host_rate", (F.col("host_rate") <= F.col("most")).alias("host_ok"))
 
 
 def judge(docs: DataFrame, host: str = "source", least_words: int = 50, repeat_percent: int = 50, limit: float = 0.5) -> DataFrame:
@@ -82,7 +84,8 @@ def judge(docs: DataFrame, host: str = "source", least_words: int = 50, repeat_p
 
     A document fails with fewer than ``least_words`` words, or if over
     ``repeat_percent`` percent of its words lie in repeated 3-word windows. The
-    failures of a host decide on all its documents (see host_verdicts). The measures
+    failures of a host, which is what the column ``host`` says (a domain, or a source where
+    documents have no domain), decide on all its documents (see host_verdicts). The measures
     are written to the shared folder once; hosts are summed before they are shuffled,
     and the join back is one that Spark splits where a host is hot.
 

@@ -87,12 +87,12 @@ WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM documents_vectors),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 20
-""".replace("documents_vectors", "embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0 AND vec_id IS NOT NULL")
+""".replace("documents_vectors", "embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND vec_id IS NOT NULL")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,9 +130,9 @@ f AS (
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS k FROM b GROUP BY source),
 m AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v FROM h),
-p AS (SELECT m, least(1e6, greatest(1.0, coalesce(CASE WHEN v > 0 THEN m * (1 - m) / v END - 1, 1e6))) AS s FROM m)
+p AS (SELECT m, least(0.5, greatest(2 * m, m + 4 * sqrt(v))) AS most, least(1e6, greatest(1.0, coalesce(CASE WHEN v > 0 THEN m * (1 - m) / v END - 1, 1e6))) AS s FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (k + s * m) / (n + s) <= 0.5 AS kept
+       NOT base_failed AND (k + s * m) / (n + s) <= most AS kept
 FROM b JOIN h ON b.source IS NOT DISTINCT FROM h.source, p
 """
 

@@ -123,6 +123,7 @@ def test_top_k(spark):
     rows = topk.top_k(spark.createDataFrame(v, "vec_id long, embedding array<double>").withColumn("id", F.lit(1)).withColumn("score", F.lit(2)), k=4)
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in rows.collect())
     assert got == [(20, 1, 1, 4096), (20, 2, 2, 4096), (20, 3, 2, 4096), (20, 4, 40, 0), (40, 1, 1, 0), (40, 2, 2, 0), (40, 3, 2, 0), (40, 4, 20, 0)]
+    assert [(r.query_id, r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame([(20, []), (3, []), (4, None)], "vec_id long, embedding array<double>")).collect()] == [(20, 3, 0)]
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
