@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-#: Separators of words; / - # . ' are none. \x1c-\x1f are white space too.
+#: Separators of words; / - # . ' are none. \x1c-\x1f are white space too.
 SEPARATORS = "(?U)[\\s\\x1c-\\x1f,;:()\\[\\]{}<>*|\"`~!?@$%^+=_\\\\​‌‍﻿]+"
 #: A web domain and its label. The endings that count as domains.
 DOMAIN = "(?U)\\b(?:www\\.)?([a-z0-9][a-z0-9\\-]*)\\.(?:co\\.in|com|net|org|in|co|io|biz|info|us|fr)\\b"
@@ -24,6 +24,24 @@ def nfkc_casefold(text: pd.Series) -> pd.Series:
     return text.map(lambda x: x.lower() if x.isascii() else unicodedata.normalize("NFKC", x).casefold(), na_action="ignore")
 
 
+@F.pandas_udf(StringType())
+def nfkc_casefold_twice(text: pd.Series) -> pd.Series:
+    """nfkc_casefold() of its own result, as names are folded: the second pass settles what folding composed anew."""
+    fold = lambda x: unicodedata.normalize("NFKC", x).casefold()
+    return text.map(lambda x: x.lower() if x.isascii() else fold(fold(x)), na_action="ignore")
+
+
+@F.pandas_udf(StringType())
+def bare(text: pd.Series) -> pd.Series:
+    """Lower case without combining marks, after NFKD."""
+    return text.map(lambda x: x.lower() if x.isascii() else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)).lower(), na_action="ignore")
+
+
+def norm(text: Column) -> Column:
+    """Words of letters, digits and _ without marks, lower case, one blank between them."""
+    return F.trim(F.regexp_replace(bare(text), "(?U)[^\\w]+", " "))
+
+
 #: Latin letters without a decomposition, and what they become.
 LETTERS = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ł": "l", "ð": "d", "þ": "th", "ı": "i", "ħ": "h", "ŋ": "ng", "ŧ": "t", "ĸ": "k", "ƒ": "f"}
 
@@ -112,10 +130,21 @@ VOWELS = {5: "a", 6: "a", 7: "i", 8: "i", 9: "u", 10: "u", 11: "r", 14: "e", 15:
 CONSONANTS = dict(zip(range(0x15, 0x3A), "k kh g gh n c ch j jh n t th d dh n t th d dh n n p ph b bh m y r r l l l v sh sh s h".split(), strict=True))
 SIGNS = {0x3E: "a", 0x3F: "i", 0x40: "i", 0x41: "u", 0x42: "u", 0x43: "r", 0x46: "e", 0x47: "e", 0x48: "ai", 0x4A: "o", 0x4B: "o", 0x4C: "au"}
 VIRAMA, NASAL = 0x4D, {1: "n", 2: "n", 3: "h"}
+#: Spellings of the letters of other alphabets, by runs of code points.
+ALPHABETS = {
+    0x03B1: "a b g d e z e th i k l m n x o p r s s t y f ch ps o",
+    0x0430: "a b v g d e zh z i y k l m n o p r s t u f kh ts ch sh shch - y - e yu ya",
+    0x05D0: "a b g d h v z h t y k k l m m n n s a p p ts ts q r sh t",
+    0x0627: "a b h t th j h kh d th r z s sh s d t z a gh",
+    0x0641: "f q k l m n h w a y",
+}
+SPELLINGS = {chr(start + i): x.replace("-", "") for start, run in ALPHABETS.items() for i, x in enumerate(run.split())}
+#: Their letters that stand apart.
+SPELLINGS |= {"\u0621": "", "\u0622": "a", "\u0623": "a", "\u0624": "w", "\u0625": "i", "\u0626": "y", "\u067e": "p", "\u0686": "ch", "\u0698": "zh", "\u06a9": "k", "\u06af": "g", "\u06cc": "y", "\u0451": "e", "\u0454": "ye", "\u0456": "i", "\u0457": "yi", "\u0491": "g"}
 
 
 def romanised(token: str) -> str:
-    """An ASCII spelling, lower case, of letters, digits, / and -; scripts without a rule go."""
+    """An ASCII spelling, lower case, of letters, digits, / and -; scripts without a rule, as Han and Hangul, go."""
     out: list[str] = []
     inherent = False
     for c in token:
@@ -136,7 +165,10 @@ def romanised(token: str) -> str:
         if inherent:
             out.append("a")
             inherent = False
-        bare = LETTERS.get(c) or "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if c in SPELLINGS:
+            out.append(SPELLINGS[c])
+            continue
+        bare = LETTERS.get(c) or "".join(SPELLINGS.get(x, x) for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
         digit = unicodedata.decimal(c, None)
         out.append(str(digit) if digit is not None else bare.lower())
     # a final inherent vowel is silent

@@ -149,6 +149,7 @@ def recall(candidates: DataFrame, truth: DataFrame, ks: tuple[int, ...] = (1, 3,
     """(k, recall, recall_covered): share of true pairs among the first k candidates, of all and of those whose query has candidates."""
     covered = candidates.select("s1_id").distinct().withColumn("has", F.lit(True))
     hits = truth.join(candidates.select("s1_id", "cand_id", "rank"), ["s1_id", "cand_id"], "left").join(covered, "s1_id", "left")
-    grid = hits.select("*", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
-    hit = F.coalesce((F.col("rank") < F.col("k")).cast("int"), F.lit(0))
-    return grid.groupBy("k").agg(F.avg(hit).alias("recall"), F.avg(F.when(F.col("has"), hit)).alias("recall_covered"))
+    hit = lambda k: F.coalesce((F.col("rank") < k).cast("int"), F.lit(0))
+    # one aggregation of all cuts
+    one = hits.agg(*[F.struct(F.lit(k).alias("k"), F.avg(hit(k)).alias("recall"), F.avg(F.when(F.col("has"), hit(k))).alias("recall_covered")).alias(f"k{k}") for k in ks])
+    return one.select(F.explode(F.array(*[f"k{k}" for k in ks])).alias("x")).select("x.*")

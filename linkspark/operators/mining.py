@@ -23,7 +23,7 @@ def training_pairs(pairs: DataFrame, references: DataFrame, others: DataFrame, s
 def sequences(pairs: DataFrame) -> DataFrame:
     """(pair, country, kind, side, pos, tok): words of names and addresses and whole components; addresses only where the noisy one isn't blank."""
     out = pairs.filter("addr2 IS NOT NULL")
-    name = lambda n: T.name_tokens(T.nfkc_casefold(T.nfkc_casefold(F.col(f"name{n}"))))
+    name = lambda n: T.name_tokens(T.nfkc_casefold_twice(F.col(f"name{n}")))
     comps = lambda n: T.components(T.nfkc_casefold(F.replace(f"addr{n}", F.lit(","), F.lit(T.COMMA))))
     rows = out.select("pair", "country", (F.trim("addr2") != "").alias("has"), *[name(n).alias(f"n{n}") for n in (1, 2)], *[comps(n).alias(f"c{n}") for n in (1, 2)])
     none = F.array().cast("array<string>")
@@ -70,10 +70,10 @@ def aligned(tokens: DataFrame, settings: Settings = DEFAULT) -> tuple[DataFrame,
 
 def vote_counts(votes: DataFrame) -> DataFrame:
     """(country, kind, noisy, canon, n, total) by country and pooled as _all, in one aggregation by grouping sets."""
-    votes.createOrReplaceTempView("_linkspark_votes")
-    sums = votes.sparkSession.sql("""
-        SELECT CASE WHEN grouping(country) = 1 THEN '_all' ELSE country END AS country, kind, noisy, canon, count(*) AS n
-        FROM _linkspark_votes GROUP BY GROUPING SETS ((country, kind, noisy, canon), (kind, noisy, canon))""")
+    keys = ["kind", "noisy", "canon"]
+    sets = [[F.col(c) for c in ("country", *keys)], [F.col(c) for c in keys]]
+    sums = votes.groupingSets(sets, "country", *keys).agg(F.count("*").alias("n"), F.grouping("country").alias("pooled"))
+    sums = sums.select(F.when(F.col("pooled") == 1, "_all").otherwise(F.col("country")).alias("country"), *keys, "n")
     total = F.sum("n").over(Window.partitionBy("country", "kind", "noisy"))
     return sums.withColumn("total", total)
 

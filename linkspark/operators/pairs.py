@@ -10,7 +10,7 @@ from .competition import competition
 
 ATTRIBUTES = ["name_clean", "name_core", "name_alias", "name_legal", "addr_clean", "addr_comps", "addr_landmark", "addr_nums", "addr_first_num", "addr_postcode"]
 FLAGS = ["f_name_domain", "f_name_alias", "f_name_native", "f_addr_native", "f_name_caps", "f_addr_caps", "f_addr_empty", "f_name_junk"]
-#: The 50 inputs of the matcher, in order.
+#: The 50 inputs of the matcher, in order.
 FEATURES = [
     "cos_name", "cos_addr", "score", "rank", "is_s3",
     "q_best", "q_gap", "q_n", "q_rank_src", "q_gap_src", "q_best_name", "q_best_addr", "c_n", "c_rank", "c_gap", "c_margin", "q_margin",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..functions import text as T
+from .folds import crc, numbered
 
 
 def field_stats(rows: DataFrame, columns: list[str], by: str | None = None) -> DataFrame:
@@ -51,8 +52,8 @@ def block_sizes(rows: DataFrame, key: Column, by: str) -> DataFrame:
     return sizes.groupBy(by).agg(F.count("*").alias("blocks"), F.percentile("n", 0.5).alias("p50"), F.percentile("n", 0.99).alias("p99"), F.max("n").alias("largest"))
 
 
-#: Words that are no key.
-STOP = ["the", "of", "and", "a", "in", "sri", "shri", "shree"]
+#: Words that are no key.
+STOP = ["the", "sri", "shri", "dr", "m", "s", "mr", "smt"]
 
 
 def first_word(text: Column) -> Column:
@@ -92,24 +93,48 @@ def key_checks(references: DataFrame, truth: DataFrame, pairs: DataFrame) -> Dat
 
 def random_negatives(references: DataFrame, others: DataFrame, seed: int = 0) -> DataFrame:
     """(s1_id, cand_id): records of one country paired by their places in orders fixed by a hash."""
-    def placed(rows, name):
-        w = Window.partitionBy("country").orderBy(F.crc32(F.encode(F.concat(F.lit(f"{seed}:{name}:"), F.col("entity_id")), "UTF-8")), "entity_id")
-        return rows.select("country", F.col("entity_id").alias(name), F.row_number().over(w).alias("rn"))
+
+    def placed(rows: DataFrame, name: str) -> DataFrame:
+        hashed = rows.select("country", F.col("entity_id").alias(name), crc(F.col("entity_id"), f"{seed}:{name}:").alias("h"))
+        return numbered(hashed, ["country"], F.shiftright("h", 20), ["h", name]).drop("h")
 
     return placed(references, "s1_id").join(placed(others, "cand_id"), ["country", "rn"]).select("country", "s1_id", "cand_id")
 
 
-def cleaning_report(pairs: DataFrame) -> DataFrame:
-    """Mean similarities, overall and by country and source, of ``pairs(label, country, source, raw1, raw2, clean1, clean2)``."""
-    rows = pairs.select(
-        "label", "country", "source",
-        S.indel_ratio("raw1", "raw2").alias("raw_ratio"), S.token_set_ratio("raw1", "raw2").alias("raw_tset"),
-        S.indel_ratio("clean1", "clean2").alias("clean_ratio"), S.token_set_ratio("clean1", "clean2").alias("clean_tset"),
-    )
-    rows.createOrReplaceTempView("_linkspark_report")
-    return rows.sparkSession.sql("""
-        SELECT label, country, source, count(*) AS n, avg(raw_ratio) AS raw_ratio, avg(raw_tset) AS raw_tset, avg(clean_ratio) AS clean_ratio, avg(clean_tset) AS clean_tset
-        FROM _linkspark_report GROUP BY GROUPING SETS ((label), (label, country), (label, country, source))""")
+#: Measures of the cleaning report: a column of each side, and how the two are compared.
+MEASURES = {
+    "raw_ratio": ("business_name", S.indel_ratio), "raw_tset": ("business_name", S.token_set_ratio), "clean_ratio": ("name_clean", S.indel_ratio),
+    "clean_tset": ("name_clean", S.token_set_ratio), "core_tset": ("name_core", S.token_set_ratio), "raw_addr_tset": ("business_address", S.token_set_ratio),
+    "clean_addr_tset": ("addr_clean", S.token_set_ratio),
+}
+#: Its breakdowns, beside all rows of a label.
+BREAKDOWNS = (("country", "source"), ("native",), ("country",), ("country", "native"))
+
+
+def measured(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """``pairs(s1_id, cand_id, label)`` of clean records with country, source, native (a side has a native name) and MEASURES, each 0 to 1."""
+    columns = sorted({c for c, _ in MEASURES.values()} | {"f_name_native"})
+    side = lambda rows, key, n, *more: rows.select(F.col("entity_id").alias(key), *more, *[F.col(c).alias(f"{c}{n}") for c in columns])
+    rows = pairs.select("s1_id", "cand_id", "label").join(side(left, "s1_id", 1, "country"), "s1_id").join(side(right, "cand_id", 2), "cand_id")
+    values = [(f(f"{c}1", f"{c}2") / 100).alias(k) for k, (c, f) in MEASURES.items()]
+    return rows.select("s1_id", "cand_id", "label", "country", F.substring("cand_id", 1, 2).alias("source"), (F.col("f_name_native1") | F.col("f_name_native2")).alias("native"), *values)
+
+
+def cleaning_report(rows: DataFrame) -> DataFrame:
+    """Mean measures of measured() rows by label, and by label and each of BREAKDOWNS; keys outside a breakdown are null."""
+    sets = [[F.col("label")], *[[F.col("label"), *map(F.col, b)] for b in BREAKDOWNS]]
+    return rows.groupingSets(sets, "label", "country", "source", "native").agg(F.count("*").alias("n"), *[F.avg(m).alias(m) for m in MEASURES])
+
+
+def worst_pairs(rows: DataFrame, measure: str, n: int) -> DataFrame:
+    """The ``n`` true pairs of measured() rows that are least alike by a measure; ties go to the smaller ids."""
+    return rows.filter("label = 1").orderBy(measure, "s1_id", "cand_id").limit(n)
+
+
+def size_histogram(rows: DataFrame, key: Column, by: str, bins: int = 20, high: float = 6.0) -> DataFrame:
+    """(by, bucket, n): how many blocks have a size in each of ``bins`` steps of its decimal logarithm up to ``high``."""
+    sizes = rows.groupBy(by, key.alias("key")).agg(F.count("*").alias("n"))
+    return histogram(sizes.select(by, F.log10("n").alias("v")), F.col("v"), 0, high, bins, by)
 
 
 def dictionary_coverage(tokens: DataFrame, words: DataFrame) -> DataFrame:

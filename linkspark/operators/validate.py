@@ -70,7 +70,10 @@ def check_file(spark: SparkSession, path: str, column: str, required: DataFrame,
         return fatal(spark, name, "comma_separated"), None
     if [c.strip().lower() for c in header.split("\t")] != ["source1_entity_id", column]:
         return fatal(spark, name, "header"), None
-    rows = parsed(text.filter(F.col("value") != header))
+    # the first line is the header; a line that repeats it is data
+    again = text.filter(F.col("value") == header).count() - 1
+    body = text.filter(F.col("value") != header)
+    rows = parsed(body.unionByName(text.sparkSession.createDataFrame([(header,)], "value string").withColumn("value", F.explode(F.array_repeat("value", again)))) if again else body)
     return findings(rows, required, name, known), rows
 
 

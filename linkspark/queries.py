@@ -8,9 +8,10 @@ language are the true matches. The SQL fixes these 18 words; the queries named
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import similarity as S
@@ -482,7 +483,135 @@ ORACLES["jaro_winkler_pairs"] = "SELECT a.p_partkey, round(jaro_winkler_similari
 @query
 def ratio_pairs(spark, sf):
     measures = {"ratio": S.indel_ratio, "tset": S.token_set_ratio, "tsort": S.token_sort_ratio, "partial": S.partial_ratio, "ptset": S.partial_token_set_ratio}
-    return part_pairs(spark, sf).select("p_partkey", *[f("p_name", "next").alias(k) for k, f in measures.items()], F.round(S.seq_ratio("p_name", "next"), 6).alias("seq"))
+    return part_pairs(spark, sf).select("p_partkey", *[f("p_name", "next").alias(k) for k, f in measures.items()])
+
+
+def ratio_sql(a: str, b: str) -> str:
+    """200 LCS / (|a| + |b|) in SQL, for texts of up to 126 characters: one bit of a whole number a character of a, one step of the fold a character of b."""
+    full = f"((CAST(1 AS HUGEINT) << CAST(length({a}) AS INTEGER)) - 1)"
+    mask = f"list_transform(string_split({b}, ''), lambda c: CAST(list_sum(list_transform(range(CAST(length({a}) AS BIGINT)), lambda i: CASE WHEN substr({a}, i + 1, 1) = c THEN CAST(1 AS HUGEINT) << CAST(i AS INTEGER) ELSE CAST(0 AS HUGEINT) END)) AS HUGEINT))"
+    row = f"list_reduce(list_prepend({full}, {mask}), lambda v, u: ((v + (v & u)) | (v - (v & u))) & {full})"
+    return f"(CASE WHEN {a} = '' AND {b} = '' THEN 100.0 WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE 200.0 * (length({a}) - bit_count({row})) / (length({a}) + length({b})) END)"
+
+
+def words_sql(a: str) -> str:
+    return f"list_filter(string_split({a}, ' '), lambda x: x <> '')"
+
+
+def joined_sql(words: str) -> str:
+    return f"array_to_string(list_sort({words}), ' ')"
+
+
+def tsort_sql(a: str, b: str) -> str:
+    return ratio_sql(joined_sql(words_sql(a)), joined_sql(words_sql(b)))
+
+
+def sets_sql(a: str, b: str) -> tuple[str, str, str]:
+    """The shared words of two texts, and each one's own, sorted and joined."""
+    x, y = f"list_distinct({words_sql(a)})", f"list_distinct({words_sql(b)})"
+    return joined_sql(f"list_intersect({x}, {y})"), joined_sql(f"list_filter({x}, lambda w: NOT list_contains({y}, w))"), joined_sql(f"list_filter({y}, lambda w: NOT list_contains({x}, w))")
+
+
+def tset_sql(a: str, b: str) -> str:
+    both, left, right = sets_sql(a, b)
+    one, two = f"trim({both} || ' ' || {left})", f"trim({both} || ' ' || {right})"
+    some = f"{both} <> ''"
+    best = f"greatest({ratio_sql(one, two)}, CASE WHEN {some} THEN greatest({ratio_sql(both, one)}, {ratio_sql(both, two)}) ELSE 0 END)"
+    return f"(CASE WHEN trim({a}) = '' OR trim({b}) = '' THEN 0.0 WHEN {some} AND ({left} = '' OR {right} = '') THEN 100.0 ELSE {best} END)"
+
+
+def windows_sql(short: str, long: str) -> str:
+    window = f"substr({long}, CAST(greatest(e - length({short}), 0) + 1 AS BIGINT), CAST(e - greatest(e - length({short}), 0) AS BIGINT))"
+    fits = f"(contains({short}, right({window}, 1)) OR (e > length({long}) AND contains({short}, left({window}, 1))))"
+    return f"list_max(list_transform(range(1, CAST(length({long}) + length({short}) AS BIGINT)), lambda e: CASE WHEN {fits} THEN {ratio_sql(short, window)} ELSE 0.0 END))"
+
+
+def partial_sql(a: str, b: str) -> str:
+    one, two = windows_sql(a, b), windows_sql(b, a)
+    best = f"CASE WHEN length({a}) < length({b}) THEN {one} WHEN length({a}) > length({b}) THEN {two} ELSE greatest({one}, {two}) END"
+    return f"(CASE WHEN {a} = '' OR {b} = '' THEN CASE WHEN {a} = {b} THEN 100.0 ELSE 0.0 END WHEN contains({a}, {b}) OR contains({b}, {a}) THEN 100.0 ELSE {best} END)"
+
+
+def whole_sql(value: str) -> str:
+    return f"CAST(floor({value} + 0.5) AS INTEGER)"
+
+
+ORACLES["ratio_pairs"] = f"""WITH p AS (SELECT a.p_partkey, a.p_name AS a, b.p_name AS b FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1),
+s AS (SELECT *, {sets_sql("a", "b")[0]} AS bt, {sets_sql("a", "b")[1]} AS l, {sets_sql("a", "b")[2]} AS r FROM p)
+SELECT p_partkey, {whole_sql(ratio_sql("a", "b"))} AS ratio, {whole_sql(tset_sql("a", "b"))} AS tset, {whole_sql(tsort_sql("a", "b"))} AS tsort, {whole_sql(partial_sql("a", "b"))} AS partial,
+  CASE WHEN bt <> '' THEN 100 ELSE {whole_sql(partial_sql("l", "r"))} END AS ptset FROM s"""
+
+
+@query
+def seq_ratio_pairs(spark, sf):
+    return part_pairs(spark, sf).select("p_partkey", F.round(S.seq_ratio("p_name", "next"), 6).alias("seq"))
+
+
+def business_pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pairs, left, right): a part's name as a business of the first source, with the next part's as one of the second; some lack a landmark, an alias or a postcode."""
+    rows = part_pairs(spark, sf).withColumn("k", F.col("p_partkey"))
+    odd = lambda n, a, b="": F.when(F.col("k") % n == 0, F.lit(a) if isinstance(a, str) else a).otherwise(F.lit(b) if isinstance(b, str) else b)
+    flags = {f: F.lit(False) for f in ("f_name_domain", "f_name_alias", "f_name_native", "f_addr_native", "f_name_caps", "f_addr_caps", "f_name_junk", "f_addr_empty")}
+    number = F.col("k").cast("string")
+
+    def side(key: str, name: Column, legal: Column, alias: Column, addr: Column, mark: Column, nums: Column, post: Column) -> DataFrame:
+        made = {"name_clean": F.concat(name, F.lit(" "), legal), "name_core": name, "name_legal": legal, "name_alias": alias, "addr_clean": addr, "addr_comps": F.replace(addr, F.lit(" "), F.lit("|")), "addr_landmark": mark, "addr_nums": nums, "addr_first_num": nums, "addr_postcode": post}
+        return rows.select(F.concat(F.lit(key), number).alias("entity_id"), *[c.alias(n) for n, c in (made | flags).items()])
+
+    left = side("S1-", F.col("p_name"), odd(2, "ltd", "llc"), F.lit(""), F.concat(number, F.lit(" main road "), F.col("p_name")), odd(3, F.concat(F.lit("near "), F.col("p_name"))), number, odd(5, "560001"))
+    right = side("S2-", F.col("next"), odd(3, "ltd", "inc"), odd(4, F.concat(F.col("next"), F.lit(" | "), F.col("p_name"))), F.concat(F.lit("road "), F.col("next"), F.lit(" "), number), odd(2, F.concat(F.lit("near "), F.col("next"))), odd(7, number), odd(2, "560001", "560002"))
+    pairs = rows.select(F.concat(F.lit("S1-"), number).alias("s1_id"), F.concat(F.lit("S2-"), number).alias("cand_id"), F.col("k") % 4 * 0.25 + 0.5, F.lit(0.25), F.lit(0.0), F.lit(0)).toDF("s1_id", "cand_id", "cos_name", "cos_addr", "score", "rank")
+    return pairs, left, right
+
+
+STRINGS = ["n_ratio", "n_tset", "nc_tsort", "nc_partial", "nc_compact_ratio", "alias_sim", "a_ratio", "a_tset", "a_partial", "lm_sim", "legal_agree", "a_postcode", "a_first_num", "a_num_both", "nc_equal", "n_tok_l", "n_tok_r", "r_f_name_caps", "l_addr_empty", "is_s3", "c_n", "q_n"]
+
+
+@query
+def pair_strings(spark, sf):
+    """The matcher's inputs of pairs with aliases, landmarks and postcodes."""
+    rows = pair_features(*business_pairs(spark, sf))
+    return rows.select("s1_id", "cand_id", *STRINGS, F.round("nc_jw", 6).alias("nc_jw"))
+
+
+ORACLES["pair_strings"] = f"""WITH p AS (SELECT a.p_partkey AS k, a.p_name AS a, b.p_name AS b FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1),
+c AS (SELECT *, a || CASE WHEN k % 2 = 0 THEN ' ltd' ELSE ' llc' END AS na, b || CASE WHEN k % 3 = 0 THEN ' ltd' ELSE ' inc' END AS nb, replace(a, ' ', '') AS ca, replace(b, ' ', '') AS cb,
+  CASE WHEN k % 4 = 0 THEN b || ' | ' || a ELSE '' END AS al, k || ' main road ' || a AS aa, 'road ' || b || ' ' || k AS ab, CASE WHEN k % 3 = 0 THEN 'near ' || a ELSE '' END AS la, CASE WHEN k % 2 = 0 THEN 'near ' || b ELSE '' END AS lb FROM p)
+SELECT 'S1-' || k AS s1_id, 'S2-' || k AS cand_id, {whole_sql(ratio_sql("na", "nb"))} AS n_ratio, {whole_sql(tset_sql("na", "nb"))} AS n_tset, {whole_sql(tsort_sql("a", "b"))} AS nc_tsort,
+  {whole_sql(partial_sql("a", "b"))} AS nc_partial, {whole_sql(ratio_sql("ca", "cb"))} AS nc_compact_ratio, CASE WHEN al = '' THEN 0 ELSE {whole_sql(tsort_sql("a", "al"))} END AS alias_sim,
+  {whole_sql(ratio_sql("aa", "ab"))} AS a_ratio, {whole_sql(tset_sql("aa", "ab"))} AS a_tset, 100 AS a_partial, CASE WHEN la = '' OR lb = '' THEN 255 ELSE {whole_sql(tset_sql("la", "lb"))} END AS lm_sim,
+  CASE WHEN (k % 2 = 0) = (k % 3 = 0) AND k % 2 = 0 THEN 1 ELSE -1 END AS legal_agree, CASE WHEN k % 5 <> 0 THEN 0 WHEN k % 2 = 0 THEN 1 ELSE -1 END AS a_postcode,
+  CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS a_first_num, CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS a_num_both, CASE WHEN ca = cb THEN 1 ELSE 0 END AS nc_equal,
+  CAST(len(string_split(a, ' ')) AS INTEGER) AS n_tok_l, CAST(len(string_split(b, ' ')) AS INTEGER) AS n_tok_r, 0 AS r_f_name_caps, 0 AS l_addr_empty, 0 AS is_s3, 1 AS c_n, 1 AS q_n,
+  round(jaro_winkler_similarity(ca, cb), 6) AS nc_jw FROM c"""
+
+#: A mined dictionary of all kinds: own maps of two countries, and what is pooled for the others.
+RULES = [
+    ("name", "india", "servcies", "services"), ("name", "india", "pvtt", "pvt"), ("name", "_all", "servcies", "srv"), ("name", "_all", "intl", "international"), ("name", "_all", "trdg", "trading"), ("name", "_all", "शक्ति", "shakti"),
+    ("addr", "_all", "rd", "road"), ("addr", "_all", "mn", "main"), ("addr", "us", "mn", "minnesota"), ("comp", "_all", "blr", "bengaluru city"),
+]
+
+
+@query
+def dictionary_rules(spark, sf):
+    """Cleaning with a dictionary of own and pooled maps, whole components, values of several words and address words by hand."""
+    k = F.col("c_custkey")
+    of = lambda n, *forms: F.get(F.array(*[F.lit(x) for x in forms]), (k % n).cast("int"))
+    name = F.replace(of(4, "Delta{} Servcies Pvtt Ltd", "Nova शक्ति Ltd", "Acme{} Intl Inc", "Royal{} Trdg Co"), F.lit("{}"), k.cast("string"))
+    rows = table(spark, sf, "customer").select(
+        F.concat(F.lit("S2-"), k).alias("entity_id"), name.alias("business_name"), F.concat(k, F.lit(" Mn Rd, Blr, R de Oak")).alias("business_address"), of(3, "India", "US", " france ").alias("country")
+    )
+    words = spark.createDataFrame(RULES, "kind string, country string, noisy string, canon string")
+    return N.clean(rows, words).select("entity_id", "country", "name_clean", "name_legal", "addr_clean", "addr_comps", "addr_nums", "f_name_native", "f_addr_native")
+
+
+ORACLES["dictionary_rules"] = """WITH c AS (SELECT c_custkey AS k, c_custkey % 4 AS n, c_custkey % 3 AS c FROM customer),
+a AS (SELECT *, k || CASE c WHEN 1 THEN ' minnesota rd' ELSE ' main road' END AS street, CASE c WHEN 2 THEN 'rue' ELSE 'r' END || ' de oak' AS oak FROM c)
+SELECT 'S2-' || k AS entity_id, CASE c WHEN 0 THEN 'India' WHEN 1 THEN 'US' ELSE ' france ' END AS country,
+  CASE WHEN n = 0 THEN 'delta' || k || CASE c WHEN 0 THEN ' services pvt ltd' ELSE ' srv pvtt ltd' END WHEN n = 1 THEN 'nova shakti ltd'
+    WHEN n = 2 THEN 'acme' || k || CASE c WHEN 0 THEN ' intl inc' ELSE ' international inc' END ELSE 'royal' || k || CASE c WHEN 0 THEN ' trdg co' ELSE ' trading co' END END AS name_clean,
+  CASE WHEN n = 0 AND c = 0 THEN 'ltd pvt' WHEN n < 2 THEN 'ltd' WHEN n = 2 THEN 'inc' ELSE 'co' END AS name_legal,
+  street || ' bengaluru city ' || oak AS addr_clean, street || '|bengaluru city|' || oak AS addr_comps, CAST(k AS VARCHAR) AS addr_nums, n = 1 AS f_name_native, false AS f_addr_native FROM a"""
 
 
 @query
@@ -684,9 +813,9 @@ def gbt_matcher(spark, sf):
     from .sources.tsv import write_stage
 
     rows = full_view(spark, sf)
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     pairs = labelled(pair_features(rounded(candidates(spark, sf)), rows, rows), truth_pairs(truth_table(spark, sf)))
-    pairs = write_stage(pairs, f"{base.rstrip('/')}/linkspark-pairs-{spark.sparkContext.applicationId}-{abs(hash(sf))}")
+    pairs = write_stage(pairs, f"{base.rstrip('/')}/linkspark-pairs-{uuid.uuid4().hex}")
     return score(train(pairs, rounds=10, depth=4), pairs).withColumn("prob", F.round("prob", 6))
 
 
@@ -766,7 +895,7 @@ def key_recall(spark, sf):
     return report.key_recall(pairs, keys).withColumn("recall", F.round("recall", 6))
 
 
-ORACLES["key_recall"] = rf"""{BLOCK}, w AS (SELECT entity_id AS id, business_name AS n, list_filter(string_split_regex(lower(business_name), '[^a-z0-9]+'), lambda x: x <> '' AND x NOT IN ('the', 'of', 'and', 'a', 'in', 'sri', 'shri', 'shree')) AS t FROM rec),
+ORACLES["key_recall"] = rf"""{BLOCK}, w AS (SELECT entity_id AS id, business_name AS n, list_filter(string_split_regex(lower(business_name), '[^a-z0-9]+'), lambda x: x <> '' AND x NOT IN ('the', 'sri', 'shri', 'dr', 'm', 's', 'mr', 'smt')) AS t FROM rec),
 k AS (SELECT id, substr(n, 1, 4) AS p, coalesce(t[1], '') AS f, coalesce(list_filter(t, lambda x: length(x) = list_max(list_transform(t, lambda y: length(y))))[1], '') AS l FROM w),
 h AS (SELECT a.f = b.f AND a.f <> '' AS f, a.l = b.l AND a.l <> '' AS l, a.p = b.p AND a.p <> '' AS p FROM cand JOIN k a ON a.id = s1_id JOIN k b ON b.id = cand_id)
 SELECT unnest(['first', 'longest', 'prefix', 'any']) AS key, unnest([round(avg(CAST(f AS INTEGER)), 6), round(avg(CAST(l AS INTEGER)), 6), round(avg(CAST(p AS INTEGER)), 6), round(avg(CAST(f OR l OR p AS INTEGER)), 6)]) AS recall FROM h"""
@@ -820,16 +949,56 @@ b AS (SELECT country, entity_id AS cand_id, row_number() OVER (PARTITION BY coun
 SELECT country, s1_id, cand_id FROM a JOIN b USING (country, rn)"""
 
 
+def label_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """True and random pairs of clean records with the report's measures."""
+    rows = N.clean(records(spark, sf).drop("text"))
+    true = truth_pairs(truth_table(spark, sf)).withColumn("label", F.lit(1))
+    pairs = true.unionByName(random_negatives(spark, sf).select("s1_id", "cand_id").withColumn("label", F.lit(0)))
+    return report.measured(pairs, rows, rows)
+
+
 @query
 def similarity_by_label(spark, sf):
-    """Raw and clean similarities of true and random pairs, overall, by country and by source."""
-    rows = N.clean(records(spark, sf).drop("text")).select("entity_id", "business_name", "name_clean")
-    true = truth_pairs(truth_table(spark, sf)).join(records(spark, sf).select(F.col("entity_id").alias("s1_id"), "country"), "s1_id").withColumn("label", F.lit(1))
-    pairs = true.unionByName(random_negatives(spark, sf).withColumn("label", F.lit(0)))
-    side = lambda n, key: rows.select(F.col("entity_id").alias(key), F.col("business_name").alias(f"raw{n}"), F.col("name_clean").alias(f"clean{n}"))
-    pairs = pairs.join(side(1, "s1_id"), "s1_id").join(side(2, "cand_id"), "cand_id").withColumn("source", F.substring("cand_id", 1, 2))
-    found = report.cleaning_report(pairs)
-    return found.select("label", "country", "source", "n", *[F.round(c, 6).alias(c) for c in ("raw_ratio", "raw_tset", "clean_ratio", "clean_tset")])
+    """Raw and clean similarities of true and random pairs, overall and by country, source and script."""
+    found = report.cleaning_report(label_pairs(spark, sf))
+    return found.select("label", "country", "source", "native", "n", *[F.round(c, 6).alias(c) for c in report.MEASURES])
+
+
+@query
+def worst_pairs(spark, sf):
+    """The true pairs of parts and noisy copies that are least alike."""
+    rows = noisy_pairs(spark, sf).select(F.col("pair").alias("s1_id"), F.col("pair").alias("cand_id"), F.lit(1).alias("label"), S.indel_ratio("a", "b").alias("ratio"))
+    return report.worst_pairs(rows, "ratio", 25).select("s1_id", "ratio")
+
+
+ORACLES["worst_pairs"] = f"WITH {MINE} SELECT pair AS s1_id, {whole_sql(ratio_sql('a', 'b'))} AS ratio FROM np ORDER BY ratio, pair LIMIT 25"
+
+
+@query
+def size_hist(spark, sf):
+    return report.size_histogram(records(spark, sf), F.lower(F.substring("business_name", 1, 2)), "country", 12, 3.0)
+
+
+ORACLES["size_hist"] = f"""WITH {RECORDS}, b AS (SELECT country, lower(substr(business_name, 1, 2)) AS k, count(*) AS n FROM rec GROUP BY ALL)
+SELECT country, CAST(least(13, floor(log10(n) / 0.25) + 1) AS BIGINT) AS bucket, count(*) AS n FROM b GROUP BY ALL"""
+
+
+@query
+def norm_words(spark, sf):
+    return records(spark, sf).select("entity_id", T.norm(F.col("business_name")).alias("norm"))
+
+
+ORACLES["norm_words"] = rf"""WITH {RECORDS} SELECT entity_id, trim(regexp_replace(strip_accents(lower(business_name)), '[^\p{{L}}\p{{N}}_]+', ' ', 'g')) AS norm FROM rec"""
+
+
+@query
+def sample_of_tests(spark, sf):
+    rows = records(spark, sf).select("entity_id")
+    kept = sample.sample_test({f"ts{i}": rows.filter(F.col("entity_id").startswith(f"S{i}-")) for i in (1, 2, 3)}, 0.2)
+    return kept["ts1"].union(kept["ts2"]).union(kept["ts3"])
+
+
+ORACLES["sample_of_tests"] = f"""WITH {RECORDS}, {CRC} SELECT entity_id FROM rec, crc WHERE {crc_sql("'ts' || substr(entity_id, 2, 1) || entity_id")} % 1000000 < 200000"""
 
 
 @query

@@ -1,4 +1,4 @@
-"""Schemas of the tables between stages."""
+"""Schemas of the tables between stages. The names are those of the files and of the matcher's inputs."""
 
 from __future__ import annotations
 

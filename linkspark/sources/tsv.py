@@ -29,6 +29,9 @@ def read_tsv(spark: SparkSession, path: str, schema: str = RECORD) -> DataFrame:
 
 
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
+    """The labelled table of a TSV file or, by its name, a Parquet one."""
+    if path.rstrip("/").endswith(".parquet"):
+        return blanked(spark.read.parquet(path).select(*[x.split()[0] for x in TRUTH.split(", ")]))
     return read_tsv(spark, path, TRUTH)
 
 
@@ -47,28 +50,76 @@ def lines(rows: DataFrame) -> Column:
     return F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns])
 
 
-def write_tsv(rows: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """Raw unquoted TSV of one file with a header, rows in ``order``."""
-    header = rows.sparkSession.range(1).select(F.lit("\t".join(rows.columns)).alias("value"), F.lit(0).alias("_part"), *[F.lit(None).alias(f"_{c}") for c in order or []])
-    body = rows.select(lines(rows).alias("value"), F.lit(1).alias("_part"), *[F.col(c).cast("string").alias(f"_{c}") for c in order or []])
-    header.union(body).orderBy("_part", *[f"_{c}" for c in order or []]).select("value").coalesce(1).write.mode("overwrite").text(path)
+def write_tsv(rows: DataFrame, path: str, order: list[str] | None = None, columns: list[str] | None = None) -> None:
+    """Raw unquoted TSV, one file with a header, rows in ``order``; of ``columns``, or all.
+
+    Rows are sorted by ranges and written as parts by all tasks; the parts, whose names are
+    in that order, are then joined byte by byte to the file.
+    """
+    spark, shown = rows.sparkSession, columns or rows.columns
+    parts = f"{path}.parts"
+    body = rows.withColumn("_line", lines(rows.select(*shown)))
+    (body.orderBy(*order) if order else body).select("_line").write.mode("overwrite").text(parts)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(conf)
+    names = sorted(f.getPath().toString() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    files.delete(target, True)
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(("\t".join(shown) + "\n").encode()))
+        for name in names:
+            part = files.open(jvm.org.apache.hadoop.fs.Path(name))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+    files.delete(folder, True)
+
+
+def read_tsv_in_order(spark: SparkSession, path: str, schema: str = RECORD) -> DataFrame:
+    """read_tsv() with ``_place``, which grows along the file."""
+    start = F.col("_metadata.file_block_start")
+    rows = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").option("escape", "").option("encoding", "UTF-8").csv(path)
+    return blanked(rows.select("*", F.struct(start.alias("block"), F.monotonically_increasing_id().alias("row")).alias("_place")))
+
+
+def read_stamp(spark: SparkSession, path: str) -> str | None:
+    """The stamp of a stage's result, or None if there is no whole one."""
+    try:
+        return spark.read.text(f"{path}/_stamp").first()[0]
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def write_stamp(spark: SparkSession, path: str, stamp: str) -> None:
+    spark.createDataFrame([(stamp,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_stamp")
 
 
 def write_stage(rows: DataFrame, path: str, parts: tuple[str, ...] = (), stamp: str | None = None) -> DataFrame:
     """Parquet in zstd, partitioned by ``parts``; with a ``stamp`` (a fingerprint of the inputs) an equal earlier result is read instead."""
     spark = rows.sparkSession
-    mark = f"{path}/_stamp"
-    if stamp is not None:
-        try:
-            if spark.read.text(mark).first()[0] == stamp:
-                return spark.read.parquet(f"{path}/data")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*parts).parquet(f"{path}/data")
-    if stamp is not None:
-        spark.createDataFrame([(stamp,)], "value string").coalesce(1).write.mode("overwrite").text(mark)
-    return spark.read.parquet(f"{path}/data")
+    if stamp is None or read_stamp(spark, path) != stamp:
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*parts).parquet(f"{path}/data")
+        if stamp is not None:
+            write_stamp(spark, path, stamp)
+    return read_stage(spark, path)
+
+
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
+    """A stage's result; columns that name its folders are strings, as they were written, and an empty one is ''."""
+    names = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(names)
+    spark.conf.set(names, "false")
+    try:
+        rows = spark.read.parquet(f"{path}/data")
+        return blanked(rows) if "country" in rows.columns else rows
+    finally:
+        spark.conf.set(names, before)
 
 
 def write_dictionary(words: DataFrame, path: str) -> None:

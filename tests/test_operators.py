@@ -153,8 +153,14 @@ def test_tsv(spark, tmp_path):
     assert got == [("S1-1", '"x\\y"', "", "US"), ("S1-2", " a ", "null", ""), ("S1-3", "é", "b,c", "India")]
     rows = spark.createDataFrame([("b", "x,y"), ("a", None)], "source1_entity_id string, matched_entity_ids string")
     tsv.write_tsv(rows, str(tmp_path / "out"), ["source1_entity_id"])
-    text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
-    assert text == "source1_entity_id\tmatched_entity_ids\na\t\nb\tx,y\n"
+    assert (tmp_path / "out").read_text() == "source1_entity_id\tmatched_entity_ids\na\t\nb\tx,y\n" and not (tmp_path / "out.parts").exists()
+    many = spark.range(1000).repartition(7).selectExpr("cast(id as string) AS a", "concat('é', id) AS b", "-id AS place")
+    tsv.write_tsv(many, str(tmp_path / "out"), ["place"], ["a", "b"])
+    assert (tmp_path / "out").read_text() == "a\tb\n" + "".join(f"{i}\té{i}\n" for i in reversed(range(1000)))
+    ordered = tsv.read_tsv_in_order(spark, str(path)).orderBy("_place").collect()
+    assert [r.entity_id for r in ordered] == ["S1-1", "S1-2", "S1-3"]
+    rows.write.parquet(str(tmp_path / "t.parquet"))
+    assert sorted(map(tuple, tsv.read_truth(spark, str(tmp_path / "t.parquet")).collect())) == [("a", ""), ("b", "x,y")]
     words = spark.createDataFrame([("name", "us", "é", "e"), ("addr", "_all", "a/b", "c")], "kind string, country string, noisy string, canon string")
     tsv.write_dictionary(words, str(tmp_path / "d"))
     assert sorted(map(tuple, tsv.read_dictionary(spark, str(tmp_path / "d")).collect())) == sorted(map(tuple, words.collect()))
@@ -181,6 +187,8 @@ def test_validator(spark, tmp_path):
     bad = run(head + "S1-1\tS2-1,S2-1\nS1-1\tS1-2\nline\nS1-2\tX-1,\nS1-9\tS2-7\n")
     assert {k for k, s in bad if s == "error"} == {"repeated_id", "duplicate_row", "self_match", "malformed", "wrong_prefix", "missing", "extra"}
     assert bad["missing", "error"] == (1, ["S1-3"])
+    again = run(good + head)
+    assert again["extra", "error"] == (1, ["source1_entity_id"]) and again["wrong_prefix", "error"] == (1, ["matched_entity_ids"])
     assert run(good, other + "S1-1\tS2-1\nS1-2\t\nS1-3\tS2-9\n")["not_in_candidates", "warning"] == (1, ["S1-1 S3-2"])
     known = spark.createDataFrame([("S2-1",), ("S2-9",)], "id string")
     assert run(good, None, known)["unknown", "error"] == (1, ["S3-2"])
@@ -196,6 +204,55 @@ def test_samples_keep_true_matches(spark):
     assert got["truth"].count() == len(kept)
 
 
+def test_rows_are_numbered_in_parts(spark):
+    rows = [(f"k{i % 3}", i * 7919 % 1000, str(i)) for i in range(3000)]
+    got = folds.numbered(spark.createDataFrame(rows, "k string, v long, t string"), ["k"], F.shiftright("v", 7), ["v", "t"]).collect()
+    want = {}
+    for k in ("k0", "k1", "k2"):
+        want |= {t: n for n, (_, t) in enumerate(sorted((v, t) for x, v, t in rows if x == k), 1)}
+    assert {r.t: r.rn for r in got} == want
+
+
+def test_capped_rows_stay_spread(spark):
+    rows = spark.range(5000, numPartitions=5).selectExpr("cast(id as string) AS a", "id % 10 AS b")
+    order = sorted((zlib.crc32(f"0:{i}:{i % 10}".encode()), str(i)) for i in range(5000))
+    for n in (0, 1, 777, 4999, 5000, 9000):
+        got = folds.capped(rows, n, "a", "b")
+        assert sorted(r.a for r in got.collect()) == sorted(x for _, x in order[:n])
+    assert folds.capped(rows, 2500, "a", "b").select(F.spark_partition_id().alias("p")).distinct().count() > 3
+    # rows that share their hash
+    same = spark.createDataFrame([("x", i) for i in range(50)] + [("y", i) for i in range(50)], "a string, i int")
+    assert folds.capped(same, 60, "a").count() == 60 and folds.capped(same.limit(0), 5, "a").count() == 0
+
+
+def test_rivals_of_a_hot_candidate(spark):
+    scores = [((i * 37) % 101) / 50 for i in range(600)]
+    rows = spark.createDataFrame([(f"q{i:03d}", "S2-1", s, 0.0, 0.0) for i, s in enumerate(scores)], "s1_id string, cand_id string, score double, cos_name double, cos_addr double")
+    order = sorted(range(600), key=lambda i: (-scores[i], i))
+    got = {r.s1_id: r for r in competition(rows).collect()}
+    for at, i in enumerate(order):
+        r = got[f"q{i:03d}"]
+        assert (r.c_n, r.c_rank) == (600, at) and r.c_gap == pytest.approx(scores[order[0]] - scores[i])
+        assert r.c_margin == pytest.approx(scores[i] - (scores[order[1]] if scores[i] == scores[order[0]] else scores[order[0]]))
+
+
+def test_alphabets():
+    assert [T.romanised(x) for x in ("москва", "щука", "αθήνα", "שלום", "شركة", "पार्क", "東京")] == ["moskva", "shchuka", "athena", "shlvm", "shrkh", "park", ""]
+
+
+def test_norm(spark):
+    got = spark.createDataFrame([("Déjà—Vu, 2nd! ",), ("ＡＢＣ ﬁ",), ("",), (None,)], "t string").select(T.norm(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["deja vu 2nd", "abc fi", "", None]
+
+
+def test_sequence_ratio(spark):
+    from difflib import SequenceMatcher
+
+    rows = [("small ring", "red widget"), ("abcd", "bcde"), ("", ""), ("a", "")]
+    got = spark.createDataFrame(rows, "a string, b string").select(S.seq_ratio("a", "b")).collect()
+    assert [r[0] for r in got] == pytest.approx([SequenceMatcher(None, a, b).ratio() for a, b in rows])
+
+
 def test_reports_on_empty_tables(spark):
     empty = spark.createDataFrame([], "entity_id string, country string, text string")
     assert report.field_stats(empty, ["text"]).count() == 0 and report.value_counts(empty, "country").count() == 0

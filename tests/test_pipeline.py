@@ -3,7 +3,7 @@
 import random
 
 from linkspark.operators.normalise import clean
-from linkspark.plans.pipeline import Paths, Pipeline
+from linkspark.plans.pipeline import Paths, Pipeline, main
 from linkspark.settings import Settings
 from linkspark.sources import tsv
 from linkspark.streaming.arrivals import arriving, block_arrivals
@@ -43,6 +43,26 @@ def test_end_to_end(spark, tmp_path):
     want = {r[0]: set(r[1].split(",")) - {""} for r in tsv.read_tsv(spark, str(tmp_path / "test_ground_truth.tsv"), "a string, b string").collect()}
     assert found.keys() == want.keys()
     assert sum(found[k] == want[k] for k in want) > 0.8 * len(want)
+    # the result is one file in the order of the references
+    lines = (tmp_path / "out" / "matching.tsv").read_text().splitlines()
+    assert [x.split("\t")[0] for x in lines] == ["source1_entity_id", *(f"S1-{i}" for i in range(40))]
+    assert sorted(p.name for p in (tmp_path / "work" / "clean_train_1" / "data").glob("country=*")) == ["country=India", "country=US"]
+    # nothing is written again while inputs and settings stand
+    written = {p: p.stat().st_mtime_ns for p in (tmp_path / "work").rglob("*.parquet")}
+    run.run(1, 5)
+    assert written == {p: p.stat().st_mtime_ns for p in (tmp_path / "work").rglob("*.parquet")}
+    # one country alone, in results of its own
+    run.block(("test",), country="US")
+    assert [r[0] for r in run.read("candidates_test_US").select("country").distinct().collect()] == ["US"]
+    rows = run.report(50).collect()
+    overall = {r.label: r for r in rows if r.country is None and r.source is None and r.native is None}
+    assert overall[1].n == 50 and overall[1].clean_ratio > overall[0].clean_ratio
+    base = ["--data", str(tmp_path), "--work", str(tmp_path / "work"), "--output", str(tmp_path / "out")]
+    assert main(["validate", *base, "--check-ids"]) == 0
+    assert main(["sample", *base, "--out", str(tmp_path / "small"), "--frac", "0.2"]) == 0
+    kept = (tmp_path / "small" / "train_source1.tsv").read_text().splitlines()
+    assert 5 < len(kept) < 80 and set(kept) <= set((tmp_path / "train_source1.tsv").read_text().splitlines())
+    assert len((tmp_path / "small" / "train_ground_truth.tsv").read_text().splitlines()) == len(kept)
 
 
 def test_stage_is_read_again_while_its_inputs_stand(spark, tmp_path):
