@@ -585,6 +585,39 @@ SELECT 'S1-' || k AS s1_id, 'S2-' || k AS cand_id, {whole_sql(ratio_sql("na", "n
   CAST(len(string_split(a, ' ')) AS INTEGER) AS n_tok_l, CAST(len(string_split(b, ' ')) AS INTEGER) AS n_tok_r, 0 AS r_f_name_caps, 0 AS l_addr_empty, 0 AS is_s3, 1 AS c_n, 1 AS q_n,
   round(jaro_winkler_similarity(ca, cb), 6) AS nc_jw FROM c"""
 
+def business_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The records of business_pairs(), the brand as their country."""
+    brand = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("_k"), F.col("p_brand").alias("country"))
+    of = lambda rows: rows.join(brand, F.substring_index("entity_id", "-", -1) == F.col("_k")).drop("_k")
+    _, left, right = business_pairs(spark, sf)
+    return of(left), of(right)
+
+
+BUSINESS = """WITH p AS (SELECT a.p_partkey AS k, a.p_brand AS country, a.p_name AS a, b.p_name AS b FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1),
+v AS (SELECT 'S1-' || k AS id, country, a AS nc, '' AS al, k || ' main road ' || a AS ac, CAST(k AS VARCHAR) AS fn, CASE WHEN k % 5 = 0 THEN '560001' ELSE '' END AS pc FROM p UNION ALL
+  SELECT 'S2-' || k, country, b, CASE WHEN k % 4 = 0 THEN b || ' | ' || a ELSE '' END, 'road ' || b || ' ' || k, CASE WHEN k % 7 = 0 THEN CAST(k AS VARCHAR) ELSE '' END, CASE WHEN k % 2 = 0 THEN '560001' ELSE '560002' END FROM p),
+nt AS (SELECT country, id, unnest(list_filter(list_concat(string_split(nc, ' '), string_split(al, ' ')), lambda x: x <> '|')) AS x FROM v),
+adt AS (SELECT country, id, unnest(string_split(ac, ' ')) AS x FROM v), cc AS (SELECT country, id, replace(nc, ' ', '') AS x FROM v),
+""" + VIEW[VIEW.index("feat AS") : VIEW.index("SELECT country, id, 'f'")] + "SELECT country, id, 'f', ltrim(fn, '0') FROM v UNION ALL SELECT country, id, 'z', pc FROM v) WHERE feat <> ''),\n" + VIEW[VIEW.index("tf AS") :]
+
+
+@query
+def business_features(spark, sf):
+    """Features of all six groups: aliases and postcodes too."""
+    left, right = business_sides(spark, sf)
+    return B.features(left.unionByName(right))
+
+
+ORACLES["business_features"] = f"{BUSINESS} SELECT country, id, grp, feat FROM feat"
+
+
+@query
+def block_business(spark, sf):
+    return shown(B.block(*business_sides(spark, sf)))
+
+
+ORACLES["block_business"] = f"{BUSINESS} SELECT country, s1_id, cand_id, round(cos_name, 6) AS cos_name, round(cos_addr, 6) AS cos_addr, round(score, 6) AS score, rank FROM cand"
+
 #: A mined dictionary of all kinds: own maps of two countries, and what is pooled for the others.
 RULES = [
     ("name", "india", "servcies", "services"), ("name", "india", "pvtt", "pvt"), ("name", "_all", "servcies", "srv"), ("name", "_all", "intl", "international"), ("name", "_all", "trdg", "trading"), ("name", "_all", "शक्ति", "shakti"),
