@@ -147,7 +147,7 @@ def romanised(token: str) -> str:
     """An ASCII spelling, lower case, of letters, digits, / and -; scripts without a rule, as Han and Hangul, go."""
     out: list[str] = []
     inherent = False
-    for c in token:
+    for c in token.lower():
         code = ord(c)
         place = code % 0x80
         if 0x900 <= code < 0xD80:
