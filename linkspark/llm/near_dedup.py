@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,10 @@ SYMBOLS, CHUNKS, LANES, BITS = 32, 8, 4, 16
 DISTANCE = 15
 #: Share of pairs at the threshold that may differ in more symbols than are compared further.
 MISS = 3.6e-6
-#: Documents of a block, where those of one key meet; pairs of one document that one task compares.
-BLOCK, PLACE = 1024, 1024
+#: Documents that share a key and are still apart are paired up to this number, and beyond it block by block.
+SMALL = 24
+#: Documents and shingles of a block; pairs of one document that one task compares.
+BLOCK, MASS, PLACE = 256, 1 << 19, 1024
 SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 CHUNK_COLUMNS = [f"c{i}" for i in range(CHUNKS)]
 SIGNATURE_SCHEMA = "n_shingles long, h1 long, h2 long, " + ", ".join(f"{c} long" for c in CHUNK_COLUMNS)
@@ -134,7 +137,7 @@ def linked(n_a: Column, n_b: Column, both: Column, percent: int) -> Column:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs(a, b)`` whose full sets are linked, with ``apart``, one less their similarity.
+    """Those of ``pairs(a, b)`` whose full sets are linked.
 
     A document of very many pairs has its set sent to as many places as PLACE pairs each
     need, so that no task has more of them.
@@ -146,70 +149,152 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # merged at every size: sets are never broadcast
     both = dealt.join(two.hint("merge"), "b").join(one.hint("merge"), ["a", "place"])
     both = both.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("both"))
-    return both.select("a", "b", linked(F.col("n"), F.col("m"), F.col("both"), percent).alias("link"), (1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("apart"))
+    return both.filter(linked(F.col("n"), F.col("m"), F.col("both"), percent)).select("a", "b")
+
+
+def own_shingles(reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """``reps`` with ``own``, the number of a document's shingles that no other set of ``sets(id, set)`` holds; 0 where an id has several sets.
+
+    A link needs shared shingles, so own ones bound it from above, whatever the partner.
+    Shingles are counted by hash with partial sums.
+    """
+    alone = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.min("id").alias("id"), F.count("*").alias("n")).filter("n = 1")
+    once = sets.groupBy("id").agg(F.count("*").alias("rows")).filter("rows = 1").select("id")
+    counts = alone.groupBy("id").agg(F.count("*").cast("int").alias("own")).join(once, "id", "left_semi")
+    return reps.join(counts, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
 
 
 def alike(x: str, y: str, percent: int) -> Column:
-    """Whether sizes and signatures of two documents allow a link."""
-    large, small = F.greatest(f"{x}.n_shingles", f"{y}.n_shingles"), F.least(f"{x}.n_shingles", f"{y}.n_shingles")
-    return (100 * small >= percent * large) & (distance(x, y) <= farthest(percent))
+    """Whether sizes, own shingles and signatures of two documents allow a link."""
+    n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    most = F.least(n - F.col(f"{x}.own"), m - F.col(f"{y}.own"))
+    return linked(n, m, most, percent) & (distance(x, y) <= farthest(percent))
 
 
-def left_over(members: DataFrame, joined: DataFrame, apart: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a key, are in different components of ``joined(node, component)`` and may be linked.
+def compare_blocks(percent: int):
+    """For two blocks of documents, the links between their components: signatures first, full sets where they allow, none inside a part already joined.
 
-    Under each key the documents outside its largest component meet all others of the
-    key; where one component holds a key there is nothing to do. Both sides are cut into
-    blocks of BLOCK that meet once each. ``apart(a, b, apart)`` has the distances to the
-    keys' leaders: by the triangle inequality a pair whose distances differ by more than
-    links allow is none.
+    A document that shares too few shingles with all of a block together is linked with
+    none of it: one look instead of one a document.
     """
-    state = members.join(joined, F.col("id") == F.col("node"), "left").select("key", "id", "leader", F.coalesce("component", "id").alias("c"))
-    sizes = state.groupBy("key", "c").agg(F.count("*").alias("n"))
-    keys = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).filter("parts > 1")
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    keys = stash(keys.select("key", F.col("most.c").alias("major"), blocks(F.col("n")).alias("wide"), blocks(F.col("n") - F.col("most.n")).alias("high")), "near-mixed")
-    state = state.join(keys, "key").join(apart.select(F.col("a").alias("leader"), F.col("b").alias("id"), "apart"), ["leader", "id"], "left")
-    state = state.join(sig, "id").select("key", "id", "c", "s", "major", "wide", "high", F.when(F.col("id") == F.col("leader"), 0.0).otherwise(F.col("apart")).alias("d"))
-    state = stash(state, "near-state")
-    own = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    minor = state.filter("c <> major").select("key", F.struct("id", "c", "d", "s.*").alias("x"), own(F.col("high")).alias("i"), every(F.col("wide")).alias("j"))
-    whole = state.select("key", F.struct("id", "c", "d", "s.*").alias("y"), (F.col("c") == F.col("major")).alias("in_major"), own(F.col("wide")).alias("j"), every(F.col("high")).alias("i"))
-    met = minor.join(whole, ["key", "i", "j"]).filter("x.c <> y.c AND (in_major OR x.id < y.id)")
-    near = F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-    met = met.filter(near).filter(alike("x", "y", percent))
-    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    most = farthest(percent)
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, side = pdf["id"].to_numpy(), pdf["side"].to_numpy()
+        order = np.lexsort((ids, side))
+        ids, side = ids[order], side[order]
+        # in the order in which they were sorted
+        sets = [pdf["set"].iloc[i].view(U) for i in order]
+        sizes = np.array([len(s) for s in sets])
+        _, label = np.unique(pdf["c"].to_numpy()[order], return_inverse=True)
+        lanes = np.stack([pdf[c].to_numpy()[order] for c in CHUNK_COLUMNS], axis=1).view(np.uint16).reshape(len(ids), SYMBOLS)
+        parent = list(range(label.max() + 1))
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        first = np.flatnonzero(side == 0)
+        two = bool((side == 1).any())
+        second = np.flatnonzero(side == 1) if two else first
+        together = np.unique(np.concatenate([sets[j] for j in second])) if two else None
+        out = []
+        for i in first:
+            if two:
+                at = np.minimum(np.searchsorted(together, sets[i]), len(together) - 1)
+                if 100 * int((together[at] == sets[i]).sum()) < percent * sizes[i]:
+                    continue
+            near = second[(second > i) & (label[second] != label[i])]
+            near = near[(lanes[near] != lanes[i]).sum(axis=1) <= most]
+            near = near[100 * np.minimum(sizes[near], sizes[i]) >= percent * np.maximum(sizes[near], sizes[i])]
+            near = [j for j in near.tolist() if root(label[j]) != root(label[i])]
+            if not near:
+                continue
+            flat, starts = np.concatenate([sets[j] for j in near]), np.cumsum([0] + [len(sets[j]) for j in near[:-1]])
+            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+            common = np.add.reduceat((sets[i][at] == flat).astype(np.int64), starts)
+            for j, both in zip(near, common.tolist(), strict=True):
+                if 100 * both >= percent * (sizes[i] + sizes[j] - both) and root(label[j]) != root(label[i]):
+                    parent[root(label[j])] = root(label[i])
+                    out.append((ids[i], ids[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def left_over(members: DataFrame, joined: DataFrame, sets: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of ``joined(node, component)`` among documents that share a key.
+
+    A key whose documents, but for the leader that all were compared with, are in one
+    component needs no more. Under the others those of up to SMALL documents pair them;
+    the documents of larger ones go to blocks of about BLOCK documents or MASS shingles,
+    formed by the largest key of each, and two blocks are compared once if any key is
+    common to them, in one task of bounded size.
+    """
+    state = members.filter("id <> leader").join(joined, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+    state = state.join(sig, "id")
+    keys = state.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("s.n_shingles").cast("long")).alias("mass"), F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
+    state = stash(state.join(keys.select("key", "n", "mass"), "key"), "near-state")
+
+    few = state.filter(F.col("n") <= SMALL).select("key", F.struct("id", "c", "s.*").alias("x"))
+    pairs = few.join(few.withColumnRenamed("x", "y"), "key").filter("x.id < y.id AND x.c <> y.c").filter(alike("x", "y", percent))
+    pairs = stash(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "near-pairs")
+
+    hot = state.filter(F.col("n") > SMALL)
+    home = hot.groupBy("id", "c").agg(F.max(F.struct("n", "mass", "key")).alias("h"), F.first("s").alias("s"))
+    parts = F.greatest(F.ceil(F.col("h.n") / BLOCK), F.ceil(F.col("h.mass") / MASS))
+    home = stash(home.select("id", "c", "s", F.xxhash64(F.col("h.key"), F.pmod(F.xxhash64("id"), parts)).alias("block")), "near-home")
+    met = stash(hot.select("key", "id").join(home.select("id", "block"), "id").select("key", "block").distinct(), "near-met")
+    meet = met.join(met.withColumnRenamed("block", "other"), "key").filter("block <= other").select("block", "other").distinct()
+    meet = stash(meet, "near-meet")
+    facts = home.select("block", "id", "c", *[F.col(f"s.{x}").alias(x) for x in CHUNK_COLUMNS]).join(sets.select("id", "set"), "id")
+    columns = ["id", "c", "set", *CHUNK_COLUMNS]
+    first = meet.join(facts, "block").select("block", "other", F.lit(0).alias("side"), *columns)
+    second = meet.filter("block <> other").join(facts.withColumnRenamed("block", "other"), "other").select("block", "other", F.lit(1).alias("side"), *columns)
+    far = first.union(second).groupBy("block", "other").applyInPandas(compare_blocks(percent), "a long, b long")
+    out = stash(confirmed(pairs, sets, percent).union(far), "near-more")
+    for table in (state, pairs, home, met, meet):
+        delete(table)
+    return out
 
 
 def links(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of what is linked among ``reps(id, n_shingles, c0..c7)``, one for each distinct set; ``docs(id, text)`` has their texts.
 
-    Each key has a leader, its smallest id, and its documents are first compared with
-    that alone: work linear in the documents of a key, after which a group of near copies
-    hangs together, mostly by several of its keys' leaders. Only documents under a key
-    that are still apart are then compared with each other (left_over), so that no link
-    between components is lost; links within one would add nothing.
+    Shingles that only one document has tell what it can be linked with at most. One that
+    has too many of them for any link is left out: most copies that differ too much are.
+    Of the others under a key, that with the least share of own ones, the middle of a group
+    of copies, is the leader, and the rest are first compared with it alone: work linear in
+    the documents of a key, after which groups of near copies hang together. Only documents
+    under a key that are still apart are then compared with each other (left_over), so that
+    no link between components is lost; links within one would add nothing.
     """
     keys = stash(reps.select("id", F.explode(index_keys()).alias("key")), "near-keys")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).filter("n > 1").drop("n")
-    members = stash(keys.join(shared, "key"), "near-members")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    found = stash(keys.join(shared, "key"), "near-shared")
     delete(keys)
     # texts are dealt by id once, for the join and for repeated rows alike
-    wanted = members.select("id").distinct()
+    wanted = found.select("id").distinct()
     texts = docs.join(wanted.hint("merge"), "id", "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["id", "h"])
     sets = stash(shingles(texts, size, "id"), "near-sets")
-    sig = reps.select("id", F.struct(*CHUNK_COLUMNS, "n_shingles").alias("s"))
+    facts = own_shingles(reps.join(wanted, "id", "left_semi"), sets)
+    facts = stash(facts.filter(100 * (F.col("n_shingles") - F.col("own")) >= percent * F.col("n_shingles")), "near-facts")
+    sig = facts.select("id", F.struct(*CHUNK_COLUMNS, "n_shingles", "own").alias("s"))
+    held = found.join(facts.select("id", (F.col("own") / F.col("n_shingles")).alias("share")), "id")
+    leaders = held.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("share", "id")).alias("first")).filter("n > 1").select("key", F.col("first.id").alias("leader"))
+    members = stash(held.join(leaders, "key").select("key", "id", "leader"), "near-members")
+    delete(found)
 
     star = members.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     star = star.join(sig.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sig.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
     star = stash(star.filter(alike("x", "y", percent)).select("a", "b"), "near-star")
-    apart = stash(confirmed(star, sets, percent), "near-apart")
-    first = components(apart.filter("link").select("a", "b"))
-    rest = stash(left_over(members, first, apart, sig, percent), "near-rest")
-    more = stash(confirmed(rest, sets, percent).filter("link").select("a", "b"), "near-more")
+    near = stash(confirmed(star, sets, percent), "near-links")
+    first = components(near)
+    more = left_over(members, first, sets, sig, percent)
     joined = first if more.isEmpty() else components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    for table in (members, sets, star, apart, rest, more):
+    for table in (members, sets, facts, star, near, more):
         delete(table)
     return joined
 
