@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkspark.llm.common import stash
+from linkspark.llm.common import delete, stash
 from linkspark.llm.host_rules import keep_good
 from linkspark.llm.mixing import mix
 from linkspark.llm.near_dedup import deduplicate
@@ -51,8 +51,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result but the last is written to the shared folder and read again."""
+    """All stages over documents; each result but the last is written to the shared folder and read again, and removed when the next is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stash(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, stash(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        delete(before)
     return STAGES[-1][1](spark, docs, sf_dir)
