@@ -2,51 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import delete, fresh_dir, shared_dir, stash  # noqa: F401
+
 #: What separates words: U+0020 and U+0009 to U+000D.
 SPACE = "\\x20\\x09-\\x0D"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset a local one is set, if all runs on one machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="linkspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends there, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stashed_at = path
-    return out
-
-
-def delete(df: DataFrame) -> None:
-    """Removes the folder of a table that stash() gave and that is no longer read; any other table is left as it is."""
-    folder = vars(df).get("stashed_at")
-    if folder:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def words(text) -> F.Column:
     """Array of the words of a text; null counts as empty."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), lambda w: w != "")

@@ -9,10 +9,10 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import locate
 from .common import fresh_dir, stash
 
 MAGIC = b"\x1f\x8b\x08"
@@ -26,15 +26,6 @@ WRITTEN = "path string, bytes long, records long"
 RECORD = "path string, position long, record_type string, record_id string, refers_to string, target_uri string, declared_digest string, payload_bytes long, payload binary"
 
 
-def locate(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a URI; file:/x, as Hadoop writes it, and plain paths are local."""
-    if re.match(r"file:/+", uri):
-        return fs.LocalFileSystem(), "/" + re.sub(r"^file:/+", "", uri)
-    if "://" in uri:
-        return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
-    return fs.LocalFileSystem(), uri
-
-
 def sha1_base32(payload) -> F.Column:
     """Bare upper-case base32 SHA-1 of a binary column, without Python: each 5 hexadecimal digits are 4 of base 32."""
     text = F.sha1(payload)
