@@ -68,3 +68,13 @@ def test_pairs_are_not_shuffled(spark):
     before = written(spark)
     assert blocking.block(make("S1"), make("S2")).count() == 8_000
     assert sum(n for k, n in written(spark).items() if k not in before) < 20_000
+
+
+def test_features_are_hashed_once_in_order(spark):
+    """Both sides' hashes are those of features(), by group and feature; repeated words count once."""
+    rows = spark.createDataFrame([("1", "x", "ganesh textiles ganesh", "old | name", "12/3-b 004 mg road mg", "012", "560"), ("2", "x", "", "", "", "", ""), ("3", "x", None, "", "road", "", "")], SCHEMA)
+    got = {r.id: (r["name"], r["addr"]) for r in blocking.hashed(rows).collect()}
+    want = {"1": ([], []), "2": ([], []), "3": ([], [])}
+    for r in blocking.features(rows).selectExpr("id", "grp", "feat", "xxhash64(grp, feat) h").orderBy("grp", "feat").collect():
+        want[r.id][r.grp not in blocking.NAME_GROUPS].append(r.h)
+    assert got == want and len(want["1"][0]) > 8
