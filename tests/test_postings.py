@@ -55,6 +55,19 @@ def test_search_by_all_pairs_over_any_blocks(tmp_path, monkeypatch, rows, dense,
     assert all(np.allclose([x[1] for x in got[k]], [x[1] for x in want[k]], atol=1e-6) for k in want)
 
 
+def test_search_takes_the_time_of_what_a_query_touches(tmp_path, monkeypatch):
+    """A query that shares features with 3 of 2,000 records sums over these, not over the block."""
+    targets = sorted(("x", f"S2-{i}", [i % 700], [1000 + i]) for i in range(2000))
+    (listed,) = postings.build(f"file://{tmp_path}/index")(iter([batch(targets)]))
+    path = listed.column(1)[0].as_py()
+    (done,) = postings.finish({"x": (2000, [path])})(iter([listed]))
+    sizes, count = [], np.bincount
+    monkeypatch.setattr(postings.np, "bincount", lambda x, w=None, n=0: sizes.append(n) or count(x, w, n))
+    found = list(postings.search({"x": (2000, [(path, done.column(2)[0].as_py())])}, Settings())(iter([batch([("x", "S1-1", [5], [1705])])])))
+    assert sorted(found[0].column(2).to_pylist()) == ["S2-1405", "S2-5", "S2-705"]
+    assert sizes and max(sizes) < 10
+
+
 def written(spark) -> dict[int, int]:
     """Rows that each stage so far has written for others to read."""
     sc = spark.sparkContext
