@@ -6,7 +6,7 @@ from linkspark import queries as own
 
 from test_postings import written
 
-QUERIES = ["block_topk", "pair_features_all", "competition_stats", "pair_sets"]
+QUERIES = ["block_topk", "pair_features_all", "competition_stats", "pair_sets", "assign_best"]
 
 
 @pytest.fixture(scope="module")
