@@ -6,7 +6,7 @@ from linkspark import queries as own
 
 from test_postings import written
 
-QUERIES = ["block_topk", "pair_features_all", "competition_stats", "pair_sets", "assign_best", "recall_at_k", "threshold_grid", "result_table", "candidate_lists", "blocking_ceiling", "key_recall", "macro_f05"]
+QUERIES = ["block_topk", "pair_features_all", "competition_stats", "pair_sets", "assign_best", "recall_at_k", "threshold_grid", "result_table", "candidate_lists", "blocking_ceiling", "key_recall", "macro_f05", "decision_rule"]
 
 
 @pytest.fixture(scope="module")
