@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,15 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Tokenised words that one worker remembers, in each of two generations.
-CACHE_WORDS = 120_000
+#: Pieces of words that one worker remembers the ids of, in each of two generations.
+CACHE_PIECES = 170_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-#: Words whose pieces the tokenizer's own rule would cut the same way: ASCII and the accented letters of Latin-1, lower case.
-SIMPLE = re.compile("[\x00-\x7fà-öø-ÿ]+")
-#: The tokenizer's rule, for such words.
-PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
+#: Texts that the tokenizer's own rule would cut the same way once they are in lower case: ASCII and the letters of Latin-1.
+SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+#: The tokenizer's rule, for such texts in lower case; white space is dropped.
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\t-\r ]+")
+#: Words end at white space of ASCII alone.
+WORD = re.compile("[^\t-\r ]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -31,59 +33,66 @@ def byte_letters() -> dict[int, str]:
     return table | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in table)}
 
 
+class Remembered(dict):
+    """Ids by piece, as little-endian bytes, in two generations of bounded size: a piece in use moves to the young one, so memory doesn't grow with the vocabulary."""
+
+    def __init__(self, ids: Callable[[str], Iterable[int]], most: int):
+        self.ids, self.most, self.old = ids, most, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            found = b"".join([i.to_bytes(4, "little") for i in self.ids(piece)])
+        self[piece] = found
+        return found
+
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+
 class WordTokenizer:
     """Ids of whole texts for a tokenizer whose tokens never span ASCII white space and that drops it.
 
-    Words are tokenised once and remembered, as little-endian bytes, in two generations
-    of bounded size; a word in use moves to the young one, so memory doesn't grow with
-    the vocabulary. Plain words go to the tokenizer's model piece by piece, all others
-    through the whole tokenizer; both give its ids.
+    Simple texts are cut into pieces by the tokenizer's rule, and its model is asked for
+    each piece once (Remembered). Of other texts, the words that aren't simple or could hold a
+    special token go through the whole tokenizer; both give its ids.
     """
 
-    def __init__(self, path: str, most: int = CACHE_WORDS):
+    def __init__(self, path: str, most: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
         self.model, self.letters = self.encoder.model, byte_letters()
-        self.most, self.young, self.old, self.pieces = most, {}, {}, {}
-
-    def piece(self, p: str) -> bytes:
-        ids = self.pieces.get(p)
-        if ids is None:
-            if len(self.pieces) >= self.most:
-                self.pieces.clear()
-            spelt = p if p.isalpha() and p.isascii() else p.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[p] = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt))
-        return ids
-
-    def word(self, w: bytes) -> bytes:
-        """The ids of a word that isn't remembered among the young."""
-        ids = self.old.get(w)
-        if ids is None:
-            text = w.decode("utf-8", "replace")
-            low = text.lower()
-            if SIMPLE.fullmatch(low) and len(low) == len(text) and "<|" not in low and (text.isascii() or SIMPLE.fullmatch(text.swapcase().lower())):
-                ids = b"".join(map(self.piece, PIECE.findall(low)))
-            else:
-                ids = np.array(self.encoder.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        self.young[w] = ids
-        return ids
-
-    def encode(self, text: bytes, end: int) -> np.ndarray:
+        self.known = Remembered(self.ids, most)
+
+    def ids(self, piece: str) -> Iterable[int]:
+        """The ids of a piece, or of a word that isn't simple."""
+        if not simple(piece):
+            return self.encoder.encode(piece, add_special_tokens=False).ids
+        spelt = piece if piece.isalpha() and piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(spelt)]
+
+    def encode(self, text: str, end: int) -> np.ndarray:
         """The ids of a text, then ``end``."""
-        words = text.split()
-        found = list(map(self.young.get, words))
-        if None in found:
-            get, word = self.young.get, self.word
-            found = [ids if ids is not None else get(w) or word(w) for ids, w in zip(found, words, strict=True)]
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-        return np.frombuffer(b"".join([*found, end.to_bytes(4, "little")]), dtype="<u4")
+        if simple(text):
+            pieces = PIECE.findall(text.lower())
+        else:
+            pieces = [p for w in WORD.findall(text) for p in (PIECE.findall(w.lower()) if simple(w) else (w,))]
+        found = list(map(self.known.__getitem__, pieces))
+        self.known.age()
+        found.append(end.to_bytes(4, "little"))
+        return np.frombuffer(b"".join(found), dtype="<u4")
+
+
+def simple(text: str) -> bool:
+    return (text.isascii() or SIMPLE.fullmatch(text) is not None) and "<|" not in text
 
 
 @lru_cache(1)
 def tokenizer(path: str) -> WordTokenizer:
-    """One a worker process, so that later tasks know the words of earlier ones."""
+    """One a worker process, so that later tasks know the pieces of earlier ones."""
     return WordTokenizer(path)
 
 
@@ -198,7 +207,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, classes: int = 64, wa
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows.extend(bins.add(doc, encoder.encode((text.as_py() or "").encode("utf-8", "replace"), end)))
+                rows.extend(bins.add(doc, encoder.encode(text.as_py() or "", end)))
                 if len(rows) >= 8192:
                     yield flush()
         rows.extend(bins.close())
