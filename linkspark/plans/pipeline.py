@@ -100,8 +100,9 @@ class Pipeline:
         for split in splits:
             left, right = self.sides(split, country)
             found = self.named(f"candidates_{split}", country)
-            rows = pairs.pair_features(self.read(found).drop("country"), left, right)
+            rows = self.read(found).drop("country")
             rows = pairs.labelled(rows, self.truth()) if split == "train" else rows
+            rows = pairs.pair_features(rows, left, right, also=("label",) if split == "train" else ())
             inputs = [found, *(f"clean_{split}_{n}" for n in (1, 2, 3))]
             self.write(rows, self.named(f"pairs_{split}", country), self.stamp(*inputs, *([self.truth()] if split == "train" else [])))
 
